@@ -15,8 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-LONG = T.StructType([T.StructField("value", T.LongType())])
-SUM_COUNT = T.StructType([T.StructField("total", T.LongType()), T.StructField("n", T.LongType())])
+LONG = T.StructType().add("value", T.LongType())
+SUM_COUNT = T.StructType().add("total", T.LongType()).add("n", T.LongType())
+RECORD = [
+    T.StructField("id", T.LongType()),
+    T.StructField("seq", T.LongType()),
+    T.StructField("ts", T.TimestampType()),
+]
+
+
+def _record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([*RECORD, *[T.StructField(name, kind) for name, kind in fields.items()]])
 
 
 def keyed_process(
@@ -60,7 +69,7 @@ class Ordered(StatefulProcessor):
 class JumpAlarm(Ordered):
     """Value state: the previous level, 0 at first. Reports jumps above ``jump``."""
 
-    OUTPUT = T.StructType.fromDDL("id bigint, seq bigint, ts timestamp, curr int, last int")
+    OUTPUT = _record(curr=T.IntegerType(), last=T.IntegerType())
 
     def __init__(self, jump: int = 10):
         self.jump = jump
@@ -85,7 +94,7 @@ class JumpAlarm(Ordered):
 class TopLevels(Ordered):
     """List state: the ``n`` largest levels, largest first."""
 
-    OUTPUT = T.StructType.fromDDL("id bigint, seq bigint, ts timestamp, top array<int>")
+    OUTPUT = _record(top=T.ArrayType(T.IntegerType()))
 
     def __init__(self, n: int = 3):
         self.n = n
@@ -107,7 +116,7 @@ class TopLevels(Ordered):
 class LevelCounter(Ordered):
     """Map state: how often each level occurred. Reports the count of the record's own level."""
 
-    OUTPUT = T.StructType.fromDDL("id bigint, seq bigint, ts timestamp, vc int, cnt bigint")
+    OUTPUT = _record(vc=T.IntegerType(), cnt=T.LongType())
 
     def open(self):
         self.state = self.handle.getMapState("counts", LONG, LONG)
@@ -122,7 +131,7 @@ class LevelCounter(Ordered):
 class RunningReduce(Ordered):
     """Reducing state: folds levels with an associative function, the first taken as it is."""
 
-    OUTPUT = T.StructType.fromDDL("id bigint, seq bigint, ts timestamp, value bigint")
+    OUTPUT = _record(value=T.LongType())
 
     def __init__(self, function):
         self.function = function
@@ -146,7 +155,7 @@ class RunningReduce(Ordered):
 class RunningMean(Ordered):
     """Aggregating state: sum and count, reported as the mean."""
 
-    OUTPUT = T.StructType.fromDDL("id bigint, seq bigint, ts timestamp, mean double")
+    OUTPUT = _record(mean=T.DoubleType())
 
     def open(self):
         self.state = self.handle.getValueState("sum_count", SUM_COUNT)
@@ -166,7 +175,7 @@ class RunningMean(Ordered):
 class TaskCounter(Ordered):
     """Operator state: how many records each bucket has counted."""
 
-    OUTPUT = T.StructType.fromDDL("bucket bigint, seq bigint, cnt bigint")
+    OUTPUT = T.StructType().add("bucket", T.LongType()).add("seq", T.LongType()).add("cnt", T.LongType())
 
     def open(self):
         self.state = self.handle.getValueState("count", LONG)
@@ -183,7 +192,7 @@ class TaskCounter(Ordered):
         self.state.update((self.n,))
 
 
-TIMER_OUTPUT = T.StructType.fromDDL("id bigint, fires_at timestamp")
+TIMER_OUTPUT = T.StructType().add("id", T.LongType()).add("fires_at", T.TimestampType())
 
 
 def _utc(millis: int) -> datetime:
