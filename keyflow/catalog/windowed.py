@@ -11,7 +11,6 @@ from keyflow.operators import lateness, topn, transforms, windows
 from keyflow.schema import ARRIVAL_ORDER, readings, with_arrival
 
 KEY = ["id"]
-AGGREGATES = {"cnt": F.count, "sum_vc": F.sum}
 
 
 def _counts() -> dict:
@@ -19,7 +18,6 @@ def _counts() -> dict:
 
 
 SUMS = "count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS sum_vc"
-IN_WINDOW = "PARTITION BY id, window_start ORDER BY ts, seq"
 
 
 def _hourly(select: str, group: str = "GROUP BY id, window_start", hours: int = 1) -> str:
@@ -173,9 +171,8 @@ CLASSIFIED = f"""{ARRIVALS},
                          ELSE 'late' END AS status FROM m)"""
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arrivals = with_arrival(readings(spark, sf_dir).select("seq", "id", "ts", "vc"))
-    return lateness.classify(arrivals, "ts", "1 hour", "1 hour", "30 minutes", ARRIVED)
+def _arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_arrival(readings(spark, sf_dir).select("seq", "id", "ts", "vc"))
 
 
 LATE_CLASSIFY_SQL = f"WITH {CLASSIFIED} SELECT seq, id, ts, window_end, status FROM c"
@@ -183,7 +180,8 @@ LATE_CLASSIFY_SQL = f"WITH {CLASSIFIED} SELECT seq, id, ts, window_end, status F
 
 @query(LATE_CLASSIFY_SQL)
 def late_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _classified(spark, sf_dir).select("seq", "id", "ts", "window_end", "status")
+    classified = lateness.classify(_arrivals(spark, sf_dir), "ts", "1 hour", "1 hour", "30 minutes", ARRIVED)
+    return classified.select("seq", "id", "ts", "window_end", "status")
 
 
 @query(
@@ -200,5 +198,4 @@ def late_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM p WHERE emits = 1"""
 )
 def late_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    panes = lateness.panes(_classified(spark, sf_dir), KEY, ARRIVED, "vc")
-    return panes.select("id", "window_start", "window_end", "pane", F.col("cnt"), "sum_vc")
+    return lateness.panes(_arrivals(spark, sf_dir), KEY, "ts", "1 hour", "1 hour", "30 minutes", ARRIVED, "vc")

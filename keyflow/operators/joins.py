@@ -67,6 +67,7 @@ def interval_join(
     left_id: Sequence[str],
     right_id: Sequence[str],
     bucket_seconds: int | None = None,
+    measured: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Pairs with the same key and ``left + lower <= right <= left + upper``, both ends included.
 
@@ -75,16 +76,22 @@ def interval_join(
     """
     span = upper_seconds - lower_seconds
     width = (bucket_seconds or max(span, 1)) * 1_000_000
-    low, high = _micros(left_time) + lower_seconds * 1_000_000, _micros(left_time) + upper_seconds * 1_000_000
+    lower, upper = lower_seconds * 1_000_000, upper_seconds * 1_000_000
 
     def bucket(micros: Column) -> Column:
         return F.floor(micros / F.lit(width)).cast("long")
 
-    left = left.withColumn("_bucket", F.explode(F.sequence(bucket(low), bucket(high))))
-    right = right.withColumn("_bucket", bucket(_micros(right_time)))
-    gap = _micros(right_time) - _micros(left_time)
-    near = gap.between(lower_seconds * 1_000_000, upper_seconds * 1_000_000)
-    return skew_join(left, right, [*keys, "_bucket"], left_id, right_id, near).drop("_bucket")
+    def file_left(df: DataFrame) -> DataFrame:
+        time = _micros(left_time)
+        return df.withColumn("_bucket", F.explode(F.sequence(bucket(time + lower), bucket(time + upper))))
+
+    def file_right(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", bucket(_micros(right_time)))
+
+    near = (_micros(right_time) - _micros(left_time)).between(lower, upper)
+    sizes = None if measured is None else (file_left(measured[0]), file_right(measured[1]))
+    on = [*keys, "_bucket"]
+    return skew_join(file_left(left), file_right(right), on, left_id, right_id, near, sizes).drop("_bucket")
 
 
 def interval_join_stream(
@@ -122,14 +129,14 @@ def interval_join_with_late(
     classified = classify_sides(merged, time, delay, order)
     on_time = classified.filter(~F.col("is_late"))
 
-    def one_side(side: str) -> DataFrame:
-        rows = on_time.filter(F.col("side") == side)
+    def one_side(both: DataFrame, side: str) -> DataFrame:
+        rows = both.filter(F.col("side") == side)
         others = [name for name in merged.columns if name not in (*keys, "side")]
         return rows.select(*keys, *[F.col(name).alias(f"{side}_{name}") for name in others])
 
     joined = interval_join(
-        one_side("left"),
-        one_side("right"),
+        one_side(on_time, "left"),
+        one_side(on_time, "right"),
         keys,
         f"left_{time}",
         f"right_{time}",
@@ -137,6 +144,7 @@ def interval_join_with_late(
         upper_seconds,
         [f"left_{row_id}"],
         [f"right_{row_id}"],
+        measured=(one_side(merged, "left"), one_side(merged, "right")),
     )
     return joined, classified.filter("is_late").drop("is_late")
 

@@ -57,29 +57,39 @@ def split_late(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     return classified.filter(F.col("status") != LATE), classified.filter(F.col("status") == LATE)
 
 
-def panes(classified: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    """What each window emits: one pane when it fires, and one more per allowed row.
+def panes(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    size: str,
+    delay: str,
+    lateness: str,
+    order: Sequence[str],
+    value: str,
+) -> DataFrame:
+    """What each window emits: one pane when it fires, and one more per row allowed after that.
 
     Every pane carries count and sum of all rows accepted so far. Rows on time come before allowed
-    ones in arrival order, so they are combined into one row per window first.
+    ones in arrival order, so they are combined into one row per window before the scan.
     """
     group = [*keys, *BOUNDS]
-    on_time = classified.filter(F.col("status") == ON_TIME).groupBy(*group)
     # Arrival positions are compared as one struct: the last row on time stands for its pane.
-    position = F.struct(*order).alias("_at")
-    fired = on_time.agg(F.max(position).alias("_at"), F.count("*").alias("_n"), F.sum(value).alias("_v"))
-    allowed = classified.filter(F.col("status") == ALLOWED).select(
-        *group, position, F.lit(1).cast("long").alias("_n"), F.col(value).cast("long").alias("_v")
+    position = F.struct(*order)
+    classified = classify(df, time, size, delay, lateness, order).filter(F.col("status") != LATE)
+    own_pane = F.when(F.col("status") == ALLOWED, position).alias("_own")
+    firings = classified.groupBy(*group, own_pane).agg(
+        F.max(position).alias("_at"), F.count("*").alias("_n"), F.sum(value).alias("_v")
     )
     emitted = hotsplit.running(
-        fired.unionByName(allowed),
+        firings,
         group,
         ["_at"],
+        measured=with_window(df, time, size).withColumn("_at", position),
         pane=hotsplit.count(),
         cnt=hotsplit.total("_n"),
         **{f"sum_{value}": hotsplit.total("_v")},
     )
-    return emitted.drop("_at", "_n", "_v")
+    return emitted.drop("_own", "_at", "_n", "_v")
 
 
 def merge_sides(left: DataFrame, right: DataFrame) -> DataFrame:

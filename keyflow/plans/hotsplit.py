@@ -110,6 +110,16 @@ def small_copy(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
+def _frozen_cuts(cuts: DataFrame) -> tuple[DataFrame, list[int]]:
+    """Freezes the cut points; also the steps of a binary search through the longest list of them."""
+    table = cuts.toArrow()
+    longest = max((len(points) for points in table.column(_CUTS)), default=0)
+    steps = [1]
+    while steps[0] <= longest:
+        steps.insert(0, steps[0] * 2)
+    return cuts.sparkSession.createDataFrame(table, schema=cuts.schema), steps
+
+
 def match(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     """Equality of the columns ``names`` with their ``_r_`` twins on the right, nulls matching."""
     return reduce(
@@ -126,41 +136,47 @@ class KeyedOrder:
 
     ``order`` must be unique inside a key. With no keys there is one order over all rows. Scan
     ``rows`` with :meth:`run`, as often as needed, and hand the result to :meth:`close`.
+
+    The key sizes are those of ``measured``, which has the same key and order columns. It may be
+    given when ``df`` is expensive and its keys are no larger than those of something cheaper.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str]):
+    def __init__(
+        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], measured: DataFrame | None = None
+    ):
         self.keys = list(keys)
         self.order = list(order)
         self.cut = False
-        self.rows = self._cut_rows(df)
+        self.rows = self._cut_rows(df, df if measured is None else measured)
         self.partition = self.keys + ([CHUNK] if self.cut else [])
 
-    def _cut_rows(self, df: DataFrame) -> DataFrame:
+    def _cut_rows(self, df: DataFrame, measured: DataFrame) -> DataFrame:
         spark = df.sparkSession
         base = rows_per_task(spark)
+        measured = measured.select(*self.keys, *self.order)
         if not self.keys:
-            size = df.count()
+            size = measured.count()
             spread = max(MIN_ROWS_PER_TASK, -(-size // spark.sparkContext.defaultParallelism))
             limit = max(min(base, spread), -(-size // MAX_CHUNKS))
             if size <= limit:
                 return df
-            cuts = small_copy(self._cut_points(df, limit))
+            cuts, steps = _frozen_cuts(self._cut_points(measured, limit))
             self.cut = True
-            steps = _search_steps(cuts.agg(F.max(F.size(_CUTS))).first()[0])
             placed = df.withColumn(_CUTS, cuts.scalar())
             return placed.withColumn(CHUNK, self._locate(steps)).drop(_CUTS)
 
         step = sample_step(base)
-        counts = hash_sample(df, step, [*self.keys, *self.order]).groupBy(*self.keys).agg(F.count("*").alias("n"))
+        sample = hash_sample(measured, step, [*self.keys, *self.order])
+        counts = sample.groupBy(*self.keys).agg(F.count("*").alias("n"))
         size, biggest = counts.agg(F.sum("n"), F.max("n")).first()
         limit = max(base, -(-(size or 0) * step // MAX_CHUNKS))
         if not size or biggest * step <= limit:
             return df
         hot = as_right(small_copy(counts.filter(F.col("n") * step > limit).drop("n")), self.keys)
-        hot_rows = df.join(F.broadcast(hot), match(df, hot, self.keys), "left_semi")
-        cuts = as_right(small_copy(self._cut_points(hot_rows, limit)), self.keys)
+        hot_rows = measured.join(F.broadcast(hot), match(measured, hot, self.keys), "left_semi")
+        cuts, steps = _frozen_cuts(self._cut_points(hot_rows, limit))
+        cuts = as_right(cuts, self.keys)
         self.cut = True
-        steps = _search_steps(cuts.agg(F.max(F.size(_CUTS))).first()[0] or 0)
         placed = df.join(F.broadcast(cuts), match(df, cuts, self.keys), "left")
         chunk = F.when(F.col(_CUTS).isNull(), F.lit(COLD)).otherwise(self._locate(steps))
         return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
@@ -234,18 +250,13 @@ class KeyedOrder:
         return df.drop(CHUNK)
 
 
-def _search_steps(cuts: int | None) -> list[int]:
-    step = 1
-    while step <= (cuts or 0):
-        step *= 2
-    steps = []
-    while step >= 1:
-        steps.append(step)
-        step //= 2
-    return steps
-
-
-def running(df: DataFrame, keys: Sequence[str], order: Sequence[str], **scans: Running) -> DataFrame:
+def running(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    measured: DataFrame | None = None,
+    **scans: Running,
+) -> DataFrame:
     """``df`` with running aggregates per key, one output row per input row."""
-    ordered = KeyedOrder(df, keys, order)
+    ordered = KeyedOrder(df, keys, order, measured)
     return ordered.close(ordered.run(ordered.rows, **scans))

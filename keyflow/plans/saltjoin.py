@@ -31,13 +31,16 @@ def skew_join(
     left_id: Sequence[str],
     right_id: Sequence[str],
     condition: Column | None = None,
+    measured: tuple[DataFrame, DataFrame] | None = None,
 ) -> DataFrame:
     """Joins on the shared columns ``on``; ``left_id`` and ``right_id`` tell the rows of a key apart.
 
-    All other column names must differ between the sides. ``condition`` may narrow the pairs.
+    All other column names must differ between the sides. ``condition`` may narrow the pairs. Key
+    sizes are taken from ``measured`` if given: cheaper tables with the same keys and ids, holding
+    at least the rows of the sides.
     """
     on = list(on)
-    grid = _grid(left, right, on, left_id, right_id)
+    grid = _grid(*(measured or (left, right)), on, left_id, right_id)
     if grid is None:
         return _join(left, right, on, condition)
     left = _place(left, grid, on, left_id, own="_a", other="_b")
