@@ -8,7 +8,7 @@ from keyflow.catalog import query
 from keyflow.catalog.sql import READINGS, WORDS
 from keyflow.functions.accumulator import LevelCounts, Reduce
 from keyflow.operators import running, scan, timers, transforms
-from keyflow.schema import ARRIVAL_ORDER, readings, table, text_lines
+from keyflow.schema import ARRIVAL_ORDER, lines, readings
 
 KEY = ["id"]
 SO_FAR = "PARTITION BY id ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
@@ -24,7 +24,7 @@ def _sensor(spark: SparkSession, sf_dir: str) -> DataFrame:
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cnt FROM w"""
 )
 def word_count_running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = transforms.words(text_lines(table(spark, sf_dir, "documents")))
+    words = transforms.numbered_words(lines(spark, sf_dir))
     return running.word_count_running(words, ["doc_id", "pos"])
 
 

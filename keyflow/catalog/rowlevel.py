@@ -6,18 +6,18 @@ from pyspark.sql import functions as F
 from keyflow.catalog import query
 from keyflow.catalog.sql import READINGS, WORDS
 from keyflow.operators import distribute, joins, running, split, transforms
-from keyflow.schema import readings, table, text_lines
-from keyflow.sources import lines
+from keyflow.schema import lines, readings, table
+from keyflow.sources.lines import generate, parse, parse_or_reject
 
 
 @query(f"WITH {WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word")
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return running.word_count(transforms.words(text_lines(table(spark, sf_dir, "documents"))))
+    return running.word_count(transforms.words(lines(spark, sf_dir)))
 
 
 @query(f"WITH {WORDS} SELECT doc_id, pos, word FROM w")
 def tokenize_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transforms.words(text_lines(table(spark, sf_dir, "documents")))
+    return transforms.numbered_words(lines(spark, sf_dir))
 
 
 def _reading_lines(df: DataFrame, level: F.Column) -> DataFrame:
@@ -30,7 +30,7 @@ def _reading_lines(df: DataFrame, level: F.Column) -> DataFrame:
     SELECT seq, CAST(id AS VARCHAR) AS id, epoch_us(ts) // 1000000 AS ts, vc FROM r"""
 )
 def parse_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.parse(_reading_lines(readings(spark, sf_dir), F.col("vc")))
+    return parse(_reading_lines(readings(spark, sf_dir), F.col("vc")))
 
 
 @query("SELECT event_id AS seq FROM events WHERE event_type = 'error'")
@@ -38,7 +38,7 @@ def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors carry a fraction in the level field, which makes their lines unreadable."""
     raw = readings(spark, sf_dir)
     level = F.when(F.col("event_type") == "error", F.concat("vc", F.lit(".5"))).otherwise(F.col("vc").cast("string"))
-    return lines.parse_or_reject(_reading_lines(raw, level))[1].select("seq")
+    return parse_or_reject(_reading_lines(raw, level))[1].select("seq")
 
 
 @query(f"WITH {READINGS} SELECT id FROM r")
@@ -70,7 +70,7 @@ def filter_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query('SELECT range AS "index", \'number:\' || range AS "value" FROM range((SELECT count(*) FROM events))')
 def gen_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many generated rows as there are events."""
-    return lines.generate(spark, table(spark, sf_dir, "events").count())
+    return generate(spark, table(spark, sf_dir, "events").count())
 
 
 @query(

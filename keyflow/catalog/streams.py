@@ -9,6 +9,7 @@ from keyflow.catalog.several import PAIR, THRESHOLD_SQL, interval_sql, side
 from keyflow.catalog.sql import READINGS, WORDS, bucket
 from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, SLIDING_SQL, SUMS
 from keyflow.operators import joins, running, topn, transforms, windows
+from keyflow.plans import hotsplit
 from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, LINE, as_readings, table, text_lines, with_arrival
 from keyflow.session import scratch_dir
 from keyflow.sinks.writers import bucketed_text_stream
@@ -18,10 +19,14 @@ from keyflow.streaming.run import latest_update, read_batches, run_query, run_to
 
 HOUR = 3600
 
+# Bounds a micro-batch of the stateful processors, and with it what they order in one task.
+PROCESSOR_BATCH_BYTES = 256 * 1024 * 1024
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def events_stream(spark: SparkSession, sf_dir: str, bytes_per_trigger: int | None = None) -> DataFrame:
     """Readings as a stream. The glob takes one file as well as a folder of files."""
-    return as_readings(parquet_stream(spark, f"{sf_dir}/[e]vents.parquet", EVENT))
+    path = f"{sf_dir}/[e]vents.parquet"
+    return as_readings(parquet_stream(spark, path, EVENT, bytes_per_trigger=bytes_per_trigger))
 
 
 def timed(df: DataFrame, delay: str) -> DataFrame:
@@ -55,6 +60,33 @@ def restart_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_update(batches, ["word"])
 
 
+def _so_far(expression: str, name: str) -> str:
+    return f"""WITH {READINGS}
+    SELECT seq, id, CAST({expression} OVER (PARTITION BY id ORDER BY ts, seq) AS BIGINT) AS {name} FROM r"""
+
+
+@query(_so_far("sum(vc)", "sum_vc"))
+def stream_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One output row per record, micro-batches continuing one another."""
+    folder = scratch_dir(spark, "running")
+    write = carry.running_by_key(folder, ["id"], ARRIVAL_ORDER, sum_vc=hotsplit.total("vc"))
+    run_query(events_stream(spark, sf_dir), write, f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/rows").select("seq", "id", "sum_vc")
+
+
+@query(
+    f"""WITH {READINGS}, h AS (SELECT *, {bucket("ts")} AS window_start FROM r)
+    SELECT id, window_start, window_start + INTERVAL 1 HOUR AS window_end, {SUMS} FROM h GROUP BY id, window_start"""
+)
+def stream_window_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that fire again with each late row allowed: the watermark waits for delay plus lateness,
+    and every change is emitted. Read back is the newest firing of each window."""
+    stream = timed(events_stream(spark, sf_dir), "90 minutes")
+    sums = windows.time_window(stream, ["id"], "ts", "1 hour", cnt=F.count("*"), sum_vc=F.sum("vc"))
+    batches = run_to_folder(sums, scratch_dir(spark, "updates"), "update")
+    return _local(latest_update(batches, ["id", *windows.BOUNDS]), *windows.BOUNDS)
+
+
 CLOSED = "window_end <= (SELECT max(ts) FROM r) - INTERVAL 1 HOUR"
 
 
@@ -122,7 +154,8 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stateful(spark: SparkSession, sf_dir: str, processor, keys=("id",), **columns) -> DataFrame:
-    stream = events_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).withColumns(columns)
+    stream = events_stream(spark, sf_dir, PROCESSOR_BATCH_BYTES).withColumns(columns)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     out = stateful.keyed_process(stream, list(keys), processor, processor.OUTPUT)
     return run_to_folder(out, scratch_dir(spark, type(processor).__name__))
 
@@ -156,6 +189,15 @@ def stream_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stateful(spark, sf_dir, stateful.RunningMean()).select("seq", "id", "mean")
 
 
+@query(
+    f"""WITH {READINGS}
+    SELECT seq, seq % 4 AS bucket, row_number() OVER (PARTITION BY seq % 4 ORDER BY ts, seq) AS cnt FROM r"""
+)
+def stream_bucket_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counter = _stateful(spark, sf_dir, stateful.TaskCounter(), ("bucket",), bucket=F.pmod("seq", F.lit(4)))
+    return counter.select("seq", "bucket", "cnt")
+
+
 @query(
     f"""WITH {READINGS}
     SELECT DISTINCT id, date_trunc('millisecond', ts) + INTERVAL 1 HOUR AS fires_at FROM r
@@ -164,7 +206,7 @@ def stream_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_event_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timers the watermark has reached; timers count in milliseconds."""
-    stream = stateful.with_millis(timed(events_stream(spark, sf_dir), "1 hour"))
+    stream = stateful.with_millis(timed(events_stream(spark, sf_dir, PROCESSOR_BATCH_BYTES), "1 hour"))
     fired = stateful.keyed_process(
         stream, ["id"], stateful.EventTimers(HOUR * 1000), stateful.TIMER_OUTPUT, time_mode="EventTime"
     )

@@ -36,6 +36,12 @@ def remainder_key(column: Column | str, n: int) -> Column:
 
 
 def words(lines: DataFrame, column: str = "value", separator: str = " ") -> DataFrame:
+    """One row per word."""
+    keep = [name for name in lines.columns if name != column]
+    return lines.select(*keep, F.explode(split_words(column, separator)).alias("word"))
+
+
+def numbered_words(lines: DataFrame, column: str = "value", separator: str = " ") -> DataFrame:
     """One row per word, with its position in the line."""
     keep = [name for name in lines.columns if name != column]
     return lines.select(*keep, F.posexplode(split_words(column, separator)).alias("pos", "word"))

@@ -202,19 +202,27 @@ class KeyedOrder:
         frame = Window.partitionBy(*self.partition).orderBy(*self.order)
         return frame.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
 
-    def run(self, df: DataFrame, **scans: Running) -> DataFrame:
-        """Adds one column per running aggregate."""
-        local = df.select(
+    def run(self, df: DataFrame, start: DataFrame | None = None, **scans: Running) -> DataFrame:
+        """Adds one column per running aggregate.
+
+        When this table continues an earlier one, ``start`` has that one's aggregates per key, as
+        made by :func:`aggregates`.
+        """
+        rows = df.select(
             "*", *[scan.agg.over(self.window(scan.exclusive)).alias(name) for name, scan in scans.items()]
         )
+        values = {name: F.col(name) for name in scans}
         if self.cut:
             early = as_right(self._earlier(df, scans), self.partition)
-            local = local.join(F.broadcast(early), match(local, early, self.partition), "left")
-        finished = {
-            name: scan.finish(scan.merge(F.col(f"_early_{name}"), F.col(name)) if self.cut else F.col(name))
-            for name, scan in scans.items()
-        }
-        return local.select(*df.columns, *[value.alias(name) for name, value in finished.items()])
+            rows = rows.join(F.broadcast(early), match(rows, early, self.partition), "left")
+            values = {name: scan.merge(F.col(f"_early_{name}"), values[name]) for name, scan in scans.items()}
+        if start is not None:
+            before = start.withColumnsRenamed({name: f"_start_{name}" for name in scans})
+            before = as_right(before, self.keys)
+            rows = rows.join(before, match(rows, before, self.keys), "left")
+            values = {name: scan.merge(F.col(f"_start_{name}"), values[name]) for name, scan in scans.items()}
+        finished = [scan.finish(values[name]).alias(name) for name, scan in scans.items()]
+        return rows.select(*df.columns, *finished)
 
     def _earlier(self, df: DataFrame, scans: dict[str, Running]) -> DataFrame:
         """Per chunk of a hot key, the aggregate over all its earlier chunks."""
@@ -250,6 +258,17 @@ class KeyedOrder:
         return df.drop(CHUNK)
 
 
+def aggregates(df: DataFrame, keys: Sequence[str], **scans: Running) -> DataFrame:
+    """The aggregates of whole keys, in the form in which they can be continued."""
+    return df.groupBy(*keys).agg(*[scan.agg.alias(name) for name, scan in scans.items()])
+
+
+def continued(earlier: DataFrame, later: DataFrame, keys: Sequence[str], **scans: Running) -> DataFrame:
+    """Joins the aggregates of two tables, one continuing the other."""
+    both = earlier.unionByName(later).groupBy(*keys)
+    return both.agg(*[scan.combine(F.col(name)).alias(name) for name, scan in scans.items()])
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from keyflow.plans.spread import spread
+
 READING = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -72,6 +74,11 @@ def with_arrival(df: DataFrame) -> DataFrame:
     return df.withColumn("arrival", F.col("ts") + delay)
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as lines, ready to be taken apart."""
+    return spread(text_lines(table(spark, sf_dir, "documents")))
+
+
 def text_lines(documents: DataFrame) -> DataFrame:
     """Documents as one line of text each."""
     return documents.select("doc_id", F.translate("text", "\n", " ").alias("value"))

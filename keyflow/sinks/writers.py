@@ -20,7 +20,9 @@ def console(df: DataFrame, label: str | None = None) -> DataStreamWriter:
 
 
 def _with_bucket(df: DataFrame, time_column: str, line: Column, pattern: str) -> DataFrame:
-    return df.select(F.date_format(time_column, pattern).alias("bucket"), line.alias("value"))
+    """Rows with their folder. A full folder is spread over tasks, small ones share one."""
+    bucketed = df.select(F.date_format(time_column, pattern).alias("bucket"), line.alias("value"))
+    return bucketed.hint("rebalance", "bucket")
 
 
 def bucketed_text_stream(
@@ -49,8 +51,8 @@ def write_bucketed_text(
     rows_per_file: int = 1_000_000,
     pattern: str = "yyyy-MM-dd HH",
 ) -> None:
-    """The same folders from a bounded table. A full bucket is spread over tasks, small ones share one."""
-    bucketed = _with_bucket(df, time_column, line, pattern).hint("rebalance", "bucket")
+    """The same folders from a bounded table."""
+    bucketed = _with_bucket(df, time_column, line, pattern)
     bucketed.write.partitionBy("bucket").option("maxRecordsPerFile", rows_per_file).text(path)
 
 

@@ -22,22 +22,31 @@ def text_file(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LINE).text(path)
 
 
-def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
+def text_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
+) -> DataFrame:
     """A folder of text files as a stream of lines; new files are picked up as they appear."""
-    return _file_stream(spark, LINE, files_per_trigger).text(path)
+    return _file_stream(spark, LINE, files_per_trigger, bytes_per_trigger).text(path)
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    files_per_trigger: int | None = None,
+    bytes_per_trigger: int | None = None,
 ) -> DataFrame:
     """A folder of parquet files (or a glob over files) as a stream."""
-    return _file_stream(spark, schema, files_per_trigger).parquet(path)
+    return _file_stream(spark, schema, files_per_trigger, bytes_per_trigger).parquet(path)
 
 
-def _file_stream(spark: SparkSession, schema: T.StructType, files_per_trigger: int | None):
+def _file_stream(spark: SparkSession, schema: T.StructType, files: int | None, size: int | None):
+    """Micro-batches are bounded by a number of files or by their size, not both."""
     reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    elif size:
+        reader = reader.option("maxBytesPerTrigger", size)
     return reader
 
 

@@ -1,9 +1,9 @@
-"""Streams whose operator needs one value from everything before the micro-batch.
+"""Streams whose operator continues from what came before the micro-batch.
 
 Spark's own watermark drops late rows without a trace and moves only between micro-batches. Here
-each micro-batch is handled as a table, continuing from a small value stored by the batch before
-it. The value is stored last, under its batch number: a batch that failed half-way is repeated from
-the same value and replaces what it had written.
+each micro-batch is handled as a table, continuing from what the batch before it stored: one value,
+or one row per key. It is stored last, under its batch number: a batch that failed half-way is repeated from
+the same start and replaces what it had written.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from keyflow.operators import lateness
 from keyflow.operators.joins import broadcast_threshold
+from keyflow.plans import hotsplit
+from keyflow.plans.hotsplit import KeyedOrder, Running
 from keyflow.sinks.writers import BatchWriter, batch_folders
 
 
@@ -75,3 +77,28 @@ def threshold_alerts(folder: str, is_config: Column, value: str, order: Sequence
         return config if before is None else F.coalesce(config, before)
 
     return carried(folder, newest, parts)
+
+
+def running_by_key(folder: str, keys: Sequence[str], order: Sequence[str], **scans: Running) -> BatchWriter:
+    """Running aggregates over a stream, one output row per record, below ``rows``.
+
+    A key that fills most of a micro-batch is cut into chunks like any table's. The aggregates of
+    all keys are stored anew with each micro-batch, which suits few and large ones; for many small
+    ones use the processors in ``stateful``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        start = spark.read.parquet(f"{folder}/state/batch={batch_id - 1}") if batch_id > 0 else None
+        batch.persist()
+        try:
+            ordered = KeyedOrder(batch, keys, order)
+            batch_folders(f"{folder}/rows")(ordered.close(ordered.run(ordered.rows, start, **scans)), batch_id)
+            state = hotsplit.aggregates(batch, keys, **scans)
+            if start is not None:
+                state = hotsplit.continued(start, state, keys, **scans)
+            batch_folders(f"{folder}/state")(state, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write

@@ -121,11 +121,20 @@ class LevelCounter(Ordered):
     def open(self):
         self.state = self.handle.getMapState("counts", LONG, LONG)
 
+    def before(self):
+        self.counts = {}
+
     def step(self, row):
-        level = (row["vc"] or 0,)
-        count = self.state.getValue(level)[0] + 1 if self.state.containsKey(level) else 1
-        self.state.updateValue(level, (count,))
-        yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], vc=level[0], cnt=count)
+        level = row["vc"] or 0
+        if level not in self.counts:
+            stored = self.state.getValue((level,))
+            self.counts[level] = 0 if stored is None else stored[0]
+        self.counts[level] += 1
+        yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], vc=level, cnt=self.counts[level])
+
+    def after(self):
+        for level, count in self.counts.items():
+            self.state.updateValue((level,), (count,))
 
 
 class RunningReduce(Ordered):
@@ -214,8 +223,8 @@ class EventTimers(StatefulProcessor):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues):
-        for row in rows:
-            self.handle.registerTimer(row["ts_ms"] + self.after_ms)
+        for due in {row["ts_ms"] + self.after_ms for row in rows}:
+            self.handle.registerTimer(due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -226,9 +235,7 @@ class ProcessingTimers(EventTimers):
     """Each record sets a timer ``after_ms`` past the current processing time."""
 
     def handleInputRows(self, key, rows, timerValues):
-        now = timerValues.getCurrentProcessingTimeInMs()
-        for _ in rows:
-            self.handle.registerTimer(now + self.after_ms)
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.after_ms)
         return iter(())
 
 
