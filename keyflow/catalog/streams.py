@@ -10,7 +10,7 @@ from keyflow.catalog.sql import READINGS, WORDS, bucket
 from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, SLIDING_SQL, SUMS
 from keyflow.operators import joins, running, topn, transforms, windows
 from keyflow.plans import hotsplit
-from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, LINE, as_readings, table, text_lines, with_arrival
+from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, as_readings, table, text_lines, with_arrival
 from keyflow.session import scratch_dir
 from keyflow.sinks.writers import bucketed_text_stream
 from keyflow.sources.lines import parquet_stream
@@ -213,6 +213,22 @@ def stream_event_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _local(run_to_folder(fired, scratch_dir(spark, "timers")), "fires_at").select("id", "fires_at")
 
 
+@query(
+    f"""WITH {READINGS},
+    m AS (SELECT id, seq, date_trunc('millisecond', ts) AS ts FROM r),
+    n AS (SELECT id, ts, lead(ts) OVER (PARTITION BY id ORDER BY ts, seq) AS next FROM m)
+    SELECT id, ts + INTERVAL 12 HOUR AS fires_at FROM n
+    WHERE next > ts + INTERVAL 12 HOUR
+       OR (next IS NULL AND ts + INTERVAL 12 HOUR <= (SELECT max(ts) FROM m) - INTERVAL 1 HOUR)"""
+)
+def stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = stateful.with_millis(timed(events_stream(spark, sf_dir, PROCESSOR_BATCH_BYTES), "1 hour"))
+    fired = stateful.keyed_process(
+        stream, ["id"], stateful.SilenceAlarm(12 * HOUR * 1000), stateful.TIMER_OUTPUT, time_mode="EventTime"
+    )
+    return _local(run_to_folder(fired, scratch_dir(spark, "silence")), "fires_at").select("id", "fires_at")
+
+
 @query(LATE_CLASSIFY_SQL)
 def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and late rows, read back from their two outputs."""
@@ -239,5 +255,5 @@ def file_sink_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = events_stream(spark, sf_dir)
     writer = bucketed_text_stream(stream, f"{folder}/out", "ts", F.concat_ws(",", "id", "ts", "vc"))
     start(writer, f"{folder}/checkpoint").awaitTermination()
-    lines = spark.read.schema(LINE.add("bucket", "string")).text(f"{folder}/out")
+    lines = spark.read.schema("value string, bucket string").text(f"{folder}/out")
     return lines.groupBy("bucket").agg(F.count("*").alias("cnt"))

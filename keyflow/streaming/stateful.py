@@ -240,7 +240,11 @@ class ProcessingTimers(EventTimers):
 
 
 class SilenceAlarm(EventTimers):
-    """Each record moves the key's timer on: the old one is deleted, so it fires only after silence."""
+    """Fires when a key had no record for longer than ``after_ms`` of event time.
+
+    Each record deletes the key's timer and sets a later one. A record that itself comes after the
+    silence reports it, since its own micro-batch would delete the timer before it fires.
+    """
 
     def init(self, handle):
         self.handle = handle
@@ -248,14 +252,16 @@ class SilenceAlarm(EventTimers):
 
     def handleInputRows(self, key, rows, timerValues):
         stored = self.state.get()
-        due = max(row["ts_ms"] for row in rows) + self.after_ms
-        if stored is not None:
-            if stored[0] >= due:
-                return iter(())
-            self.handle.deleteTimer(stored[0])
-        self.handle.registerTimer(due)
-        self.state.update((due,))
-        return iter(())
+        armed = due = None if stored is None else stored[0]
+        for time in sorted(row["ts_ms"] for row in rows):
+            if due is not None and time > due:
+                yield Row(id=key[0], fires_at=_utc(due))
+            due = time + self.after_ms if due is None else max(due, time + self.after_ms)
+        if due != armed:
+            if armed is not None:
+                self.handle.deleteTimer(armed)
+            self.handle.registerTimer(due)
+            self.state.update((due,))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         self.state.clear()
