@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from keyflow.catalog import query
 from keyflow.catalog.sql import ARRIVALS, READINGS, bucket
-from keyflow.operators import joins, lateness
+from keyflow.operators import joins
 from keyflow.schema import ARRIVAL_ORDER, readings, table, with_arrival
 
 KEY = ["id"]
@@ -82,10 +82,9 @@ LATE_SIDES = f"""{ARRIVALS},
 
 
 def _with_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    arrivals = with_arrival(readings(spark, sf_dir))
-    clicks = arrivals.filter(F.col("event_type") == "click").drop("event_type")
-    purchases = arrivals.filter(F.col("event_type") == "purchase").drop("event_type")
-    merged = lateness.merge_sides(clicks, purchases)
+    kind = F.col("event_type")
+    both = readings(spark, sf_dir).filter(kind.isin("click", "purchase"))
+    merged = with_arrival(both.withColumn("side", F.when(kind == "click", "left").otherwise("right"))).drop("event_type")
     return joins.interval_join_with_late(merged, KEY, "ts", ["arrival", "seq"], "1 hour", -2 * HOUR, 2 * HOUR, "seq")
 
 

@@ -73,13 +73,11 @@ def panes(
     ones in arrival order, so they are combined into one row per window before the scan.
     """
     group = [*keys, *BOUNDS]
-    # Arrival positions are compared as one struct: the last row on time stands for its pane.
     position = F.struct(*order)
     classified = classify(df, time, size, delay, lateness, order).filter(F.col("status") != LATE)
-    own_pane = F.when(F.col("status") == ALLOWED, position).alias("_own")
-    firings = classified.groupBy(*group, own_pane).agg(
-        F.max(position).alias("_at"), F.count("*").alias("_n"), F.sum(value).alias("_v")
-    )
+    # The pane of the rows on time has no position, and sorts first.
+    allowed_at = F.when(F.col("status") == ALLOWED, position).alias("_at")
+    firings = classified.groupBy(*group, allowed_at).agg(F.count("*").alias("_n"), F.sum(value).alias("_v"))
     emitted = hotsplit.running(
         firings,
         group,
@@ -89,7 +87,7 @@ def panes(
         cnt=hotsplit.total("_n"),
         **{f"sum_{value}": hotsplit.total("_v")},
     )
-    return emitted.drop("_own", "_at", "_n", "_v")
+    return emitted.drop("_at", "_n", "_v")
 
 
 def merge_sides(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -17,12 +17,15 @@ Only the layout depends on the row counts measured here, never the result:
 from __future__ import annotations
 
 import dataclasses
+import itertools
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_TASK = 4_000_000
 MIN_ROWS_PER_TASK = 1_000
@@ -32,8 +35,10 @@ SAMPLES_PER_CHUNK = 64
 CHUNK = "_chunk"
 COLD = -1
 
-_CUTS = "_cuts"
 _POS = "_pos"
+_CUTS = "_cuts"
+_START = "_cuts_start"
+_COUNT = "_cuts_count"
 
 
 @dataclass(frozen=True)
@@ -110,16 +115,6 @@ def small_copy(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
-def _frozen_cuts(cuts: DataFrame) -> tuple[DataFrame, list[int]]:
-    """Freezes the cut points; also the steps of a binary search through the longest list of them."""
-    table = cuts.toArrow()
-    longest = max((len(points) for points in table.column(_CUTS)), default=0)
-    steps = [1]
-    while steps[0] <= longest:
-        steps.insert(0, steps[0] * 2)
-    return cuts.sparkSession.createDataFrame(table, schema=cuts.schema), steps
-
-
 def match(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
     """Equality of the columns ``names`` with their ``_r_`` twins on the right, nulls matching."""
     return reduce(
@@ -160,10 +155,11 @@ class KeyedOrder:
             limit = max(min(base, spread), -(-size // MAX_CHUNKS))
             if size <= limit:
                 return df
-            cuts, steps = _frozen_cuts(self._cut_points(measured, limit))
             self.cut = True
-            placed = df.withColumn(_CUTS, cuts.scalar())
-            return placed.withColumn(CHUNK, self._locate(steps)).drop(_CUTS)
+            _, cuts, longest = self._cut_points(measured, limit)
+            placed = df.withColumn(_CUTS, cuts)
+            chunk = self._locate(F.lit(0), F.lit(longest), longest)
+            return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
 
         step = sample_step(base)
         sample = hash_sample(measured, step, [*self.keys, *self.order])
@@ -172,31 +168,54 @@ class KeyedOrder:
         limit = max(base, -(-(size or 0) * step // MAX_CHUNKS))
         if not size or biggest * step <= limit:
             return df
+        self.cut = True
         hot = as_right(small_copy(counts.filter(F.col("n") * step > limit).drop("n")), self.keys)
         hot_rows = measured.join(F.broadcast(hot), match(measured, hot, self.keys), "left_semi")
-        cuts, steps = _frozen_cuts(self._cut_points(hot_rows, limit))
-        cuts = as_right(cuts, self.keys)
-        self.cut = True
-        placed = df.join(F.broadcast(cuts), match(df, cuts, self.keys), "left")
-        chunk = F.when(F.col(_CUTS).isNull(), F.lit(COLD)).otherwise(self._locate(steps))
+        ranges, cuts, longest = self._cut_points(hot_rows, limit)
+        ranges = as_right(ranges, self.keys)
+        placed = df.join(F.broadcast(ranges), match(df, ranges, self.keys), "left").withColumn(_CUTS, cuts)
+        chunk = F.when(F.col(_COUNT).isNull(), F.lit(COLD)).otherwise(self._locate(F.col(_START), F.col(_COUNT), longest))
         return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
 
-    def _cut_points(self, df: DataFrame, limit: int) -> DataFrame:
+    def _cut_points(self, df: DataFrame, limit: int) -> tuple[DataFrame, Column, int]:
+        """Positions that cut the rows of each key into chunks of about ``limit`` rows.
+
+        All cut points form one sorted array, given as a scalar subquery so that no row has to carry
+        it. Comes with each key's range in that array, and the length of the longest range.
+        """
         step = sample_step(limit)
         every = max(1, limit // step)
         sample = hash_sample(df, step, [*self.keys, *self.order]).select(*self.keys, F.struct(*self.order).alias(_POS))
         ranked = Window.partitionBy(*self.keys).orderBy(_POS)
         picked = sample.withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") % every == 0)
-        return picked.groupBy(*self.keys).agg(F.array_sort(F.collect_list(_POS)).alias(_CUTS))
+        per_key = picked.groupBy(*self.keys).agg(F.array_sort(F.collect_list(_POS)).alias(_CUTS))
+        found = per_key.toArrow()
 
-    def _locate(self, steps: Sequence[int]) -> Column:
-        """How many cut points are at or before the row: a binary search, halving the step."""
+        lists = found.column(_CUTS).combine_chunks()
+        counts = [len(points) for points in lists]
+        starts = [0, *itertools.accumulate(counts)][: len(counts)]
+        whole = pa.ListArray.from_arrays(pa.array([0, sum(counts)], pa.int32()), lists.flatten())
+        spark = df.sparkSession
+        cuts = spark.createDataFrame(pa.table({_CUTS: whole}), schema=per_key.select(_CUTS).schema).scalar()
+        ranges = found.drop_columns([_CUTS])
+        ranges = ranges.append_column(_START, pa.array(starts, pa.int32()))
+        ranges = ranges.append_column(_COUNT, pa.array(counts, pa.int32()))
+        kinds = T.StructType().add(_START, T.IntegerType()).add(_COUNT, T.IntegerType())
+        schema = T.StructType([*per_key.drop(_CUTS).schema, *kinds])
+        return spark.createDataFrame(ranges, schema=schema), cuts, max(counts, default=0)
+
+    def _locate(self, start: Column, count: Column, longest: int) -> Column:
+        """How many of the key's cut points are at or before the row: a binary search, halving the step."""
+        steps = [1]
+        while steps[0] <= longest:
+            steps.insert(0, steps[0] * 2)
         position = F.struct(*self.order)
-        return F.aggregate(
-            F.array(*[F.lit(step) for step in steps]),
-            F.lit(0),
-            lambda low, step: F.when(F.get(_CUTS, low + step - 1) <= position, low + step).otherwise(low),
-        )
+
+        def advance(low: Column, step: Column) -> Column:
+            passed = (low + step <= count) & (F.get(_CUTS, start + low + step - 1) <= position)
+            return F.when(passed, low + step).otherwise(low)
+
+        return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
 
     def window(self, exclusive: bool = False):
         frame = Window.partitionBy(*self.partition).orderBy(*self.order)
@@ -235,7 +254,7 @@ class KeyedOrder:
 
     def summarise(self, df: DataFrame, **aggs: Column) -> DataFrame:
         """One row per chunk of a hot key. At most ``MAX_CHUNKS`` rows, aggregated before the shuffle."""
-        hot = df.filter(F.col(CHUNK) != COLD)
+        hot = df.filter(F.col(CHUNK) != COLD) if self.keys else df
         return hot.groupBy(*self.partition).agg(*[agg.alias(name) for name, agg in aggs.items()])
 
     def chunk_window(self, exclusive: bool):
