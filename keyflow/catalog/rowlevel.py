@@ -62,9 +62,9 @@ def map_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {READINGS} SELECT seq, id, ts, vc FROM r WHERE id = 7")
+@query(f"WITH {READINGS} SELECT seq, id, ts, vc FROM r WHERE event_type = 'click'")
 def filter_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transforms.filter_equal(readings(spark, sf_dir), "id", 7).select("seq", "id", "ts", "vc")
+    return transforms.filter_equal(readings(spark, sf_dir), "event_type", "click").select("seq", "id", "ts", "vc")
 
 
 @query('SELECT range AS "index", \'number:\' || range AS "value" FROM range((SELECT count(*) FROM events))')

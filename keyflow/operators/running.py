@@ -151,7 +151,7 @@ def _top_chain(df: DataFrame, before, n: int) -> DataFrame:
 
 def _earlier_top(ordered: KeyedOrder, levels: DataFrame, n: int) -> DataFrame:
     """Per chunk of a hot key, the top n of its earlier chunks."""
-    hot = levels.filter(F.col(CHUNK) != hotsplit.COLD)
+    hot = ordered.hot(levels)
     in_chunk = Window.partitionBy(*ordered.partition).orderBy(F.col("_level").desc(), *ordered.order)
     best = hot.withColumn("_rank", F.row_number().over(in_chunk)).filter(F.col("_rank") <= n)
     best = best.select(*ordered.partition, "_rank", "_level")

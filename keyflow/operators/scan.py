@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from keyflow.functions.accumulator import Accumulator
-from keyflow.plans.hotsplit import COLD, CHUNK, KeyedOrder
+from keyflow.plans.hotsplit import CHUNK, KeyedOrder
 
 _STATE = "_state"
 
@@ -153,7 +153,7 @@ def keyed_scan(
 
 def _seeds(ordered: KeyedOrder, accumulator: Accumulator, inputs: Sequence[str]) -> DataFrame:
     """Per chunk of a hot key, the state at its start. One small row per chunk goes through here."""
-    hot = ordered.rows.filter(F.col(CHUNK) != COLD)
+    hot = ordered.hot(ordered.rows)
     keys = [*ordered.keys, CHUNK]
     in_order = hot.repartition(*keys).sortWithinPartitions(*keys, *ordered.order)
     parts = _merge_states(_partial_states(in_order, keys, accumulator, inputs), keys, accumulator)

@@ -33,7 +33,7 @@ MAX_CHUNKS = 20_000
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_chunk"
-COLD = -1
+HOT = "_hot"
 
 _POS = "_pos"
 _CUTS = "_cuts"
@@ -157,9 +157,7 @@ class KeyedOrder:
                 return df
             self.cut = True
             _, cuts, longest = self._cut_points(measured, limit)
-            placed = df.withColumn(_CUTS, cuts)
-            chunk = self._locate(F.lit(0), F.lit(longest), longest)
-            return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
+            return self._locate(df, cuts, F.lit(0), F.lit(longest), longest).select(*df.columns, CHUNK)
 
         step = sample_step(base)
         sample = hash_sample(measured, step, [*self.keys, *self.order])
@@ -173,9 +171,9 @@ class KeyedOrder:
         hot_rows = measured.join(F.broadcast(hot), match(measured, hot, self.keys), "left_semi")
         ranges, cuts, longest = self._cut_points(hot_rows, limit)
         ranges = as_right(ranges, self.keys)
-        placed = df.join(F.broadcast(ranges), match(df, ranges, self.keys), "left").withColumn(_CUTS, cuts)
-        chunk = F.when(F.col(_COUNT).isNull(), F.lit(COLD)).otherwise(self._locate(F.col(_START), F.col(_COUNT), longest))
-        return placed.withColumn(CHUNK, chunk).select(*df.columns, CHUNK)
+        ranged = df.join(F.broadcast(ranges), match(df, ranges, self.keys), "left")
+        placed = self._locate(ranged, cuts, F.col(_START), F.col(_COUNT), longest)
+        return placed.select(*df.columns, CHUNK, F.col(_COUNT).isNotNull().alias(HOT))
 
     def _cut_points(self, df: DataFrame, limit: int) -> tuple[DataFrame, Column, int]:
         """Positions that cut the rows of each key into chunks of about ``limit`` rows.
@@ -204,18 +202,24 @@ class KeyedOrder:
         schema = T.StructType([*per_key.drop(_CUTS).schema, *kinds])
         return spark.createDataFrame(ranges, schema=schema), cuts, max(counts, default=0)
 
-    def _locate(self, start: Column, count: Column, longest: int) -> Column:
-        """How many of the key's cut points are at or before the row: a binary search, halving the step."""
+    def _locate(self, df: DataFrame, cuts: Column, start: Column, count: Column, longest: int) -> DataFrame:
+        """Adds how many of the key's cut points are at or before the row.
+
+        This is a binary search, one column per halving of the step, which keeps it in compiled code.
+        """
         steps = [1]
         while steps[0] <= longest:
             steps.insert(0, steps[0] * 2)
-        position = F.struct(*self.order)
-
-        def advance(low: Column, step: Column) -> Column:
-            passed = (low + step <= count) & (F.get(_CUTS, start + low + step - 1) <= position)
-            return F.when(passed, low + step).otherwise(low)
+        df = df.withColumns({_CUTS: cuts, _POS: F.struct(*self.order), CHUNK: F.lit(0)})
+        for step in steps:
+            further = F.col(CHUNK) + step
+            passed = (further <= count) & (F.get(_CUTS, start + further - 1) <= F.col(_POS))
+            df = df.withColumn(CHUNK, F.when(passed, further).otherwise(F.col(CHUNK)))
+        return df
 
-        return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
+    def hot(self, df: DataFrame) -> DataFrame:
+        """The rows of keys that were cut. (Not a condition on the chunk, which is costly to compute.)"""
+        return df.filter(HOT) if self.keys else df
 
     def window(self, exclusive: bool = False):
         frame = Window.partitionBy(*self.partition).orderBy(*self.order)
@@ -254,8 +258,7 @@ class KeyedOrder:
 
     def summarise(self, df: DataFrame, **aggs: Column) -> DataFrame:
         """One row per chunk of a hot key. At most ``MAX_CHUNKS`` rows, aggregated before the shuffle."""
-        hot = df.filter(F.col(CHUNK) != COLD) if self.keys else df
-        return hot.groupBy(*self.partition).agg(*[agg.alias(name) for name, agg in aggs.items()])
+        return self.hot(df).groupBy(*self.partition).agg(*[agg.alias(name) for name, agg in aggs.items()])
 
     def chunk_window(self, exclusive: bool):
         frame = Window.partitionBy(*self.keys).orderBy(CHUNK)
@@ -274,7 +277,7 @@ class KeyedOrder:
         return joined.withColumn(name, F.coalesce("_whole", name)).select(*df.columns, name)
 
     def close(self, df: DataFrame) -> DataFrame:
-        return df.drop(CHUNK)
+        return df.drop(CHUNK, HOT)
 
 
 def aggregates(df: DataFrame, keys: Sequence[str], **scans: Running) -> DataFrame:
