@@ -81,24 +81,35 @@ LATE_SIDES = f"""{ARRIVALS},
           FROM m)"""
 
 
-def _with_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def clicks_and_purchases(df: DataFrame) -> DataFrame:
+    """Two inputs in one table, as they arrive."""
     kind = F.col("event_type")
-    both = readings(spark, sf_dir).filter(kind.isin("click", "purchase"))
-    merged = with_arrival(both.withColumn("side", F.when(kind == "click", "left").otherwise("right"))).drop("event_type")
+    both = df.filter(kind.isin("click", "purchase"))
+    return with_arrival(both.withColumn("side", F.when(kind == "click", "left").otherwise("right"))).drop("event_type")
+
+
+def _with_late(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    merged = clicks_and_purchases(readings(spark, sf_dir))
     return joins.interval_join_with_late(merged, KEY, "ts", ["arrival", "seq"], "1 hour", -2 * HOUR, 2 * HOUR, "seq")
 
 
-@query(
+ON_TIME_PAIRS_SQL = (
     f"""WITH {LATE_SIDES}
     SELECT l.id, l.seq AS left_seq, p.seq AS right_seq, l.ts AS left_ts, p.ts AS right_ts
     FROM c l JOIN c p ON l.id = p.id AND p.ts BETWEEN l.ts - INTERVAL 2 HOUR AND l.ts + INTERVAL 2 HOUR
     WHERE l.side = 'left' AND p.side = 'right' AND NOT l.is_late AND NOT p.is_late"""
 )
+
+
+@query(ON_TIME_PAIRS_SQL)
 def interval_join_on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_late(spark, sf_dir)[0].select(*PAIR)
 
 
-@query(f"WITH {LATE_SIDES} SELECT side, seq, id, ts, vc FROM c WHERE is_late")
+LATE_OF_SIDES_SQL = f"WITH {LATE_SIDES} SELECT side, seq, id, ts, vc FROM c WHERE is_late"
+
+
+@query(LATE_OF_SIDES_SQL)
 def interval_join_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_late(spark, sf_dir)[1].select("side", "seq", "id", "ts", "vc")
 

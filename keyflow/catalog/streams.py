@@ -5,7 +5,15 @@ from pyspark.sql import functions as F
 
 from keyflow.catalog import query
 from keyflow.catalog.keyed import LEVEL_COUNTS_SQL, TOP3_SQL
-from keyflow.catalog.several import PAIR, THRESHOLD_SQL, interval_sql, side
+from keyflow.catalog.several import (
+    LATE_OF_SIDES_SQL,
+    ON_TIME_PAIRS_SQL,
+    PAIR,
+    THRESHOLD_SQL,
+    clicks_and_purchases,
+    interval_sql,
+    side,
+)
 from keyflow.catalog.sql import READINGS, WORDS, bucket
 from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, SLIDING_SQL, SUMS
 from keyflow.operators import joins, running, topn, transforms, windows
@@ -148,7 +156,7 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withWatermark(f"{name}_ts", "1 hour")
         for kind, name in (("click", "left"), ("purchase", "right"))
     ]
-    joined = joins.interval_join_stream(*sides, ["id"], "left_ts", "right_ts", -2 * HOUR, 2 * HOUR)
+    joined = joins.interval_join_stream(*sides, ["id"], "left_ts", "right_ts", -2 * HOUR, 2 * HOUR, ["left_seq"], salts=4)
     out = run_to_folder(joined, scratch_dir(spark, "interval"))
     return _local(out, "left_ts", "right_ts").select(*PAIR)
 
@@ -240,6 +248,32 @@ def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.union_all(*parts).select("seq", "id", "ts", "window_end", "status")
 
 
+def _split_sides(spark: SparkSession, sf_dir: str) -> str:
+    folder = scratch_dir(spark, "sides")
+    stream = clicks_and_purchases(events_stream(spark, sf_dir))
+    write = carry.late_split_of_sides(folder, "ts", "1 hour", ["arrival", "seq"])
+    run_query(stream, write, f"{folder}/checkpoint")
+    return folder
+
+
+@query(LATE_OF_SIDES_SQL)
+def stream_join_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late records of both inputs of a join."""
+    late = spark.read.parquet(f"{_split_sides(spark, sf_dir)}/late")
+    return late.select("side", "seq", "id", "ts", "vc")
+
+
+@query(ON_TIME_PAIRS_SQL)
+def stream_join_on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The join of the records that came in time."""
+    accepted = spark.read.parquet(f"{_split_sides(spark, sf_dir)}/accepted").withColumnRenamed("side", "event_type")
+    sides = side(accepted, "left", "left"), side(accepted, "right", "right")
+    joined = joins.interval_join(
+        *sides, ["id"], "left_ts", "right_ts", -2 * HOUR, 2 * HOUR, ["left_seq"], ["right_seq"]
+    )
+    return joined.select(*PAIR)
+
+
 @query(THRESHOLD_SQL)
 def stream_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "threshold")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from keyflow.operators.lateness import classify_sides
 from keyflow.plans import hotsplit
-from keyflow.plans.saltjoin import skew_join
+from keyflow.plans.saltjoin import salted, skew_join
 
 
 def union_all(*inputs: DataFrame) -> DataFrame:
@@ -23,11 +23,25 @@ def connect(left: DataFrame, right: DataFrame, left_map: Sequence[Column], right
     return left.select(*left_map).unionByName(right.select(*right_map))
 
 
-def keyed_connect(left: DataFrame, right: DataFrame, keys: Sequence[str], left_id: Sequence[str], right_id: Sequence[str]) -> DataFrame:
-    """Every pair of records with the same key, exactly once."""
-    if left.isStreaming or right.isStreaming:
-        return left.join(right, list(keys))
-    return skew_join(left, right, keys, left_id, right_id)
+def keyed_connect(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_id: Sequence[str],
+    right_id: Sequence[str],
+    salts: int = 1,
+) -> DataFrame:
+    """Every pair of records with the same key, exactly once. Streams spread a key over ``salts`` tasks."""
+    return _equi_join(left, right, keys, left_id, right_id, salts)
+
+
+def _equi_join(left, right, on, left_id, right_id, salts) -> DataFrame:
+    if not (left.isStreaming or right.isStreaming):
+        return skew_join(left, right, on, left_id, right_id)
+    if salts == 1:
+        return left.join(right, list(on))
+    left, right = salted(left, right, salts, left_id)
+    return left.join(right, [*on, "_salt"]).drop("_salt")
 
 
 def window_join(
@@ -39,15 +53,12 @@ def window_join(
     size: str,
     left_id: Sequence[str],
     right_id: Sequence[str],
+    salts: int = 1,
 ) -> DataFrame:
-    """Pairs with the same key in the same tumbling window."""
+    """Pairs with the same key in the same tumbling window. Streams spread a key over ``salts`` tasks."""
     left = left.withColumn("_span", F.window(left_time, size))
     right = right.withColumn("_span", F.window(right_time, size))
-    on = [*keys, "_span"]
-    if left.isStreaming or right.isStreaming:
-        joined = left.join(right, on)
-    else:
-        joined = skew_join(left, right, on, left_id, right_id)
+    joined = _equi_join(left, right, [*keys, "_span"], left_id, right_id, salts)
     bounds = [F.col("_span.start").alias("window_start"), F.col("_span.end").alias("window_end")]
     return joined.select("*", *bounds).drop("_span")
 
@@ -102,13 +113,21 @@ def interval_join_stream(
     right_time: str,
     lower_seconds: int,
     upper_seconds: int,
+    left_id: Sequence[str],
+    salts: int = 1,
 ) -> DataFrame:
-    """The same join of two streams with watermarks; rows past their reach leave the state."""
+    """The same join of two streams with watermarks; rows past their reach leave the state.
+
+    Each key is spread over ``salts`` tasks.
+    """
+    if salts > 1:
+        left, right = salted(left, right, salts, left_id)
+        keys = [*keys, "_salt"]
     lower, upper = F.make_dt_interval(secs=F.lit(lower_seconds)), F.make_dt_interval(secs=F.lit(upper_seconds))
     near = (F.col(right_time) >= F.col(left_time) + lower) & (F.col(right_time) <= F.col(left_time) + upper)
     right = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
     same = reduce(lambda a, b: a & b, [F.col(key) == F.col(f"_r_{key}") for key in keys])
-    return left.join(right, same & near).drop(*[f"_r_{key}" for key in keys])
+    return left.join(right, same & near).drop("_salt", *[f"_r_{key}" for key in keys])
 
 
 def interval_join_with_late(

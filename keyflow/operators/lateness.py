@@ -95,10 +95,18 @@ def merge_sides(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.withColumn("side", F.lit("left")).unionByName(right.withColumn("side", F.lit("right")))
 
 
-def classify_sides(merged: DataFrame, time: str, delay: str, order: Sequence[str]) -> DataFrame:
+def newest_of_sides(time: str) -> Column:
+    """Aggregate: the newest event time of each side, as a struct."""
+    return F.struct(*[F.max(F.when(F.col("side") == side, F.col(time))).alias(side) for side in ("left", "right")])
+
+
+def classify_sides(
+    merged: DataFrame, time: str, delay: str, order: Sequence[str], start: Column | None = None
+) -> DataFrame:
     """Adds ``is_late`` to two inputs read together, whose watermark is the smaller of the two.
 
     A record is late if its time is before the watermark. There is none until both sides had a record.
+    ``start`` holds the newest times from before this table, when the table continues another.
     """
     sided = merged
     for side in ("left", "right"):
@@ -106,6 +114,9 @@ def classify_sides(merged: DataFrame, time: str, delay: str, order: Sequence[str
     seen = hotsplit.running(
         sided, [], order, _max_left=hotsplit.highest("_left").before(), _max_right=hotsplit.highest("_right").before()
     )
+    if start is not None:
+        for side in ("left", "right"):
+            seen = seen.withColumn(f"_max_{side}", F.greatest(f"_max_{side}", start[side]))
     both = F.when(
         F.col("_max_left").isNotNull() & F.col("_max_right").isNotNull(), F.least("_max_left", "_max_right")
     )

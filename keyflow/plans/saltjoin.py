@@ -1,4 +1,6 @@
-"""Inner equi-join that spreads a key holding too many rows over a grid of tasks.
+"""Inner equi-joins that spread a key holding too many rows over several tasks.
+
+``skew_join`` measures the keys of tables and lays the crowded ones out on a grid.
 
 A key with L left and R right rows gets ``a = L / limit`` left slices and ``b = R / limit`` right
 slices. A left row goes to its slice in each of the ``b`` columns, a right row to its slice in each
@@ -87,3 +89,15 @@ def _place(
         F.pmod(F.xxhash64(*row_id), own_slices).cast("int").alias(own),
         F.explode(F.sequence(F.lit(0), other_slices - 1)).alias(other),
     )
+
+
+def salted(
+    left: DataFrame, right: DataFrame, salts: int, left_id: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a column ``_salt`` to join on as well, which spreads each key over ``salts`` tasks.
+
+    Meant for streams, whose key sizes cannot be measured beforehand: left rows go to one salt each,
+    right rows to all of them, so the smaller input belongs on the right.
+    """
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*left_id), F.lit(salts)).cast("int"))
+    return left, right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -63,6 +63,28 @@ def late_split(folder: str, time: str, size: str, delay: str, allowed: str, orde
     return carried(folder, value, parts)
 
 
+def late_split_of_sides(folder: str, time: str, delay: str, order: Sequence[str]) -> BatchWriter:
+    """Writes the records of two inputs, read together, below ``accepted`` or ``late``.
+
+    The accepted ones can then be joined, as a table or as streams of that folder.
+    """
+
+    def parts(batch: DataFrame, before: Column | None) -> dict[str, DataFrame]:
+        classified = lateness.classify_sides(batch, time, delay, order, before)
+        return {
+            "accepted": classified.filter(~F.col("is_late")).drop("is_late"),
+            "late": classified.filter("is_late").drop("is_late"),
+        }
+
+    def value(batch: DataFrame, before: Column | None) -> Column:
+        newest = lateness.newest_of_sides(time)
+        if before is None:
+            return newest
+        return F.struct(*[F.greatest(newest[side], before[side]).alias(side) for side in ("left", "right")])
+
+    return carried(folder, value, parts)
+
+
 def threshold_alerts(folder: str, is_config: Column, value: str, order: Sequence[str], default: int = 10) -> BatchWriter:
     """Writes records above the newest config value below ``alerts``.
 

@@ -111,6 +111,13 @@ def test_crowded_key_with_accumulators(crowded, layout):
         assert row["mean"] == sum(levels) / len(levels)
 
 
+def test_times_with_a_zone(crowded, layout):
+    table, rows = crowded
+    zoned = table.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("vc", running.level_or_zero())
+    got = [row.running_vc for row in by_seq(running.running_max(zoned, KEY, ARRIVAL_ORDER, "vc"))]
+    assert got == brute(rows, max)
+
+
 def test_chunks_do_not_exceed_their_size(crowded, spark):
     from keyflow.plans.hotsplit import CHUNK, KeyedOrder
 

@@ -155,6 +155,16 @@ def test_threshold_is_carried(disordered, feed):
     same(got, joins.broadcast_threshold(disordered, config, "vc", ["seq"]).select("seq", "threshold"))
 
 
+def test_late_records_of_two_inputs(disordered, feed):
+    merged = disordered.withColumn("side", F.when(F.col("id") == 1, "left").otherwise("right"))
+    write = carry.late_split_of_sides(feed.folder, "ts", "20 seconds", ["seq"])
+    run_query(feed.drop(merged, 4).stream(merged.schema), write, f"{feed.folder}/checkpoint")
+    want = lateness.classify_sides(merged, "ts", "20 seconds", ["seq"])
+    for name, part in (("accepted", want.filter("NOT is_late")), ("late", want.filter("is_late"))):
+        assert part.count() > 10
+        same(feed.spark.read.parquet(f"{feed.folder}/{name}").select("seq"), part.select("seq"))
+
+
 def timed(stream, delay="5 minutes", column="ts"):
     return stream.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
 
@@ -207,9 +217,10 @@ def test_joins_equal_tables(disordered, feed):
     pair = ["id", "left_seq", "right_seq"]
     ids = (["left_seq"], ["right_seq"])
 
-    got = run_to_folder(joins.interval_join_stream(*streams, ["id"], "left_ts", "right_ts", -30, 60), scratch_dir(feed.spark, "j"))
+    got = joins.interval_join_stream(*streams, ["id"], "left_ts", "right_ts", -30, 60, ["left_seq"], salts=3)
+    got = run_to_folder(got, scratch_dir(feed.spark, "j"))
     same(got.select(*pair), joins.interval_join(*tables, ["id"], "left_ts", "right_ts", -30, 60, *ids).select(*pair))
-    got = joins.window_join(*streams, ["id"], "left_ts", "right_ts", "1 minute", *ids).select(*pair)
+    got = joins.window_join(*streams, ["id"], "left_ts", "right_ts", "1 minute", *ids, salts=2).select(*pair)
     want = joins.window_join(*tables, ["id"], "left_ts", "right_ts", "1 minute", *ids).select(*pair)
     same(run_to_folder(got, scratch_dir(feed.spark, "j")).drop("batch"), want)
     plain = [side(feed.stream(disordered.schema), *half) for half in halves]
