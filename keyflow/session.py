@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
+# Functions and processors of this package travel to the executors themselves, so that those (and
+# the worker in which Spark prepares a stream's processors) need not have it installed.
+cloudpickle.register_pickle_by_value(sys.modules["keyflow"])
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
