@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyflow.llm import packing, quality, secrets, sharding, urls
+from keyflow.llm import decontamination, language, licenses, packing, quality, secrets, sharding, urls
 from keyflow.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,13 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def pieces() -> str:
+    """The place of the vocabulary for languages."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -31,16 +38,38 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return urls.judge(pages, urls.train(urls.labelled_by_rules(pages)))
 
 
-RUNS: tuple[Run, ...] = (op1_sharding, op2_packing, op3_secrets, op5_quality, op8_urls)
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return language.identify(documents, language.train(documents, pieces()))
+
+
+RUNS: tuple[Run, ...] = (
+    op1_sharding,
+    op2_packing,
+    op3_secrets,
+    op4_licenses,
+    op5_quality,
+    op7_decontamination,
+    op8_urls,
+    op10_language,
+)
 
 
 def queries() -> dict[str, Run]:
