@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyflow.llm import decontamination, language, licenses, packing, quality, secrets, sharding, urls
+from keyflow.llm import decontamination, language, licenses, neardup, packing, quality, secrets, sharding, urls
 from keyflow.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.train(urls.labelled_by_rules(pages)))
 
 
+def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.join(table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return language.identify(documents, language.train(documents, pieces()))
@@ -68,6 +72,7 @@ RUNS: tuple[Run, ...] = (
     op5_quality,
     op7_decontamination,
     op8_urls,
+    op9_neardup,
     op10_language,
 )
 
