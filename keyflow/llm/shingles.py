@@ -27,7 +27,9 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _CHUNK = 1 << 12
-_POWERS = np.cumprod(np.concatenate([[1], np.full(_CHUNK, _BASE, np.uint64)]).astype(np.uint64))
+_POWERS = np.full(_CHUNK + 1, _BASE, np.uint64)
+_POWERS[0] = 1
+_POWERS = np.cumprod(_POWERS)
 
 
 def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
