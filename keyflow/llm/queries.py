@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyflow.llm import decontamination, language, licenses, neardup, packing, quality, secrets, sharding, urls
+from keyflow.llm import decontamination, language, licenses, neardup, packing, quality, secrets, sharding, suffixes, urls
 from keyflow.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -70,6 +74,7 @@ RUNS: tuple[Run, ...] = (
     op3_secrets,
     op4_licenses,
     op5_quality,
+    op6_suffixes,
     op7_decontamination,
     op8_urls,
     op9_neardup,
