@@ -4,28 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from keyflow.llm import decontamination, language, licenses, neardup, packing, quality, secrets, sharding, suffixes, urls
 from keyflow.llm.common import table
+from keyflow.llm.vocabularies import pieces, tokenizer
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 
-def tokenizer() -> tuple[str, str]:
-    """The place of the byte-level vocabulary, and its pattern of word pieces."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-
-
-def pieces() -> str:
-    """The place of the vocabulary for languages."""
-    import public_tokenizers
-
-    return public_tokenizers.path("piece_bpe_32k.model")
-
-
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -83,8 +71,9 @@ RUNS: tuple[Run, ...] = (
 
 
 def queries() -> dict[str, Run]:
-    return {run.__name__: run for run in RUNS}
+    return {run.__name__: run for run in RUNS} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """None of these can be expressed in DuckDB's SQL: see tests/llm for what they are compared with."""
+    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
