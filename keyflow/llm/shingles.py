@@ -27,6 +27,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 _CHUNK = 1 << 12
+_AT_ONCE = 1 << 20  # characters
 _POWERS = np.full(_CHUNK + 1, _BASE, np.uint64)
 _POWERS[0] = 1
 _POWERS = np.cumprod(_POWERS)
@@ -63,7 +64,21 @@ def distinct_shingles(texts: list[str | None], width: int) -> tuple[np.ndarray,
     """Hashes of the distinct runs of ``width`` words of each text, sorted, text by text; where each text starts.
 
     A text with fewer words has the hash of all its words; one without words has none. A-Z are lower-cased.
+    Texts are worked on a megabyte at a time, so that what is held besides the result stays small.
     """
+    found, ends = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    start = size = total = 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= _AT_ONCE or i + 1 == len(texts):
+            hashes, bounds = _distinct(texts[start : i + 1], width)
+            found.append(hashes)
+            ends.append(bounds[1:] + total)
+            start, size, total = i + 1, 0, total + len(hashes)
+    return np.concatenate(found), np.concatenate(ends)
+
+
+def _distinct(texts: list[str | None], width: int) -> tuple[np.ndarray, np.ndarray]:
     raw, bounds = buffer(texts)
     words, starts = word_hashes(raw)
     first = np.searchsorted(starts, bounds)  # first word of each text
