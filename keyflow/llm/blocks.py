@@ -41,9 +41,9 @@ class Blocks:
     total: int
     partitions: int
 
-    def parts(self, bytes_per_hash: float) -> int:
+    def parts(self, bytes_per_hash: float, part_hashes: int = PART_HASHES) -> int:
         grown = max(1.0, math.sqrt(self.total / STEADY_BYTES))
-        return max(self.partitions // 4, math.ceil(self.total / bytes_per_hash / (PART_HASHES * grown)), 1)
+        return max(self.partitions // 4, math.ceil(self.total / bytes_per_hash / (part_hashes * grown)), 1)
 
 
 def blocks(df: DataFrame, key: Column, text: Column) -> Blocks:
