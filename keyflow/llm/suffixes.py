@@ -10,8 +10,8 @@ bytes, the place whose 26-gram has the smallest identifier (an anchor). What is
 
 1. anchors stay if their 26-gram occurs elsewhere;
 2. of those that also share 24 bytes to the left and right, only the ones in the smallest document go on:
-   every string of 50 bytes around the others occurs there too. And of what goes on, only the side on
-   which 12 more bytes occur elsewhere;
+   every string of 50 bytes around the others occurs there too. And of what goes on, only the side whose
+   12 more bytes also occur in other surroundings: where they do not, nothing is left to compare;
 3. the strings of 50 bytes around what is left are compared one by one.
 """
 
@@ -42,7 +42,8 @@ IDS = mix(np.arange(1, 258, dtype=np.uint64))
 # A factor for each refinement; any odd numbers without a pattern.
 FACTORS = mix(np.arange(1001, 1033, dtype=np.uint64)) | np.uint64(3)
 
-# The steps in which blocks ask, by number. In those with ids they ask for a smaller document, else for any other place.
+# The steps in which blocks ask, by number: whether an identifier stands elsewhere, or in a smaller document (in those with
+# ids), or (of sides) in other surroundings.
 GRAMS, AROUND, SIDES, STRINGS = 1, 2, 3, 4
 WITH_IDS = (AROUND, STRINGS)
 
@@ -161,6 +162,18 @@ class Bucket:
         self.ids = None if owners is None else np.minimum.reduceat(owners, first) if len(first) else owners
         self.repeated = np.diff([*first, len(every)]) > 1
 
+    @classmethod
+    def of_sides(cls, sides: list[np.ndarray], surroundings: list[np.ndarray]) -> Bucket:
+        """Distinct sides, each with the lower half of its surroundings, and whether it has several."""
+        every, around = np.concatenate([np.zeros(0, np.uint64), *sides]), np.concatenate([np.zeros(0, np.uint64), *surroundings])
+        order = np.lexsort((around, every))
+        made = cls([every])
+        first = np.searchsorted(every[order], made.hashes)
+        last = np.append(first[1:], len(every)) - 1
+        low, high = around[order][first], around[order][last] if len(first) else around
+        made.repeated, made.surroundings = low != high, low.astype("<u4")
+        return made
+
     def cells(self, block: int, step: int, parts: int) -> list[tuple]:
         # Parts are ranges of identifiers, so that the order of all is that of each part.
         part = (((self.hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
@@ -172,6 +185,8 @@ class Bucket:
                 base = self.ids[s:e].min()
                 far = self.ids[s:e].astype(np.uint64) - np.uint64(base.astype(np.uint64))
                 ids = base.tobytes() + far.astype("<u4" if far.max() < 1 << 32 else "<u8").tobytes()
+            elif step == SIDES:
+                ids = np.packbits(self.repeated[s:e]).tobytes() + self.surroundings[s:e].tobytes()
             elif self.repeated[s:e].any():
                 ids = np.packbits(self.repeated[s:e]).tobytes()
             hashes = self.hashes[s:e].astype("<u4" if self.ids is None else "<u8").tobytes()
@@ -215,7 +230,7 @@ class Search:
             around.append(c.surroundings(c.anchors))
             ids.append(c.ids[c.owner])
             sides.append(c.sides(c.anchors))
-        self.around, self.sides = Bucket(around, ids), Bucket(sides)
+        self.around, self.sides = Bucket(around, ids), Bucket.of_sides(sides, [np.tile(a, 2) for a in around])
         return self.around, self.sides
 
     def third(self) -> Bucket:
@@ -274,6 +289,12 @@ def _said(step: int, asked: list[dict]) -> Iterator[tuple]:
         ids = np.concatenate([_ids(r["ids"], n) for r, n in zip(asked, sizes)])
         smallest = np.minimum.reduceat(ids[order], first)
         said[order] = np.repeat(smallest, many) < ids[order]
+    elif step == SIDES:
+        several = np.concatenate([np.unpackbits(np.frombuffer(r["ids"], np.uint8), count=n) for r, n in zip(asked, sizes)])
+        around = np.concatenate([np.frombuffer(r["ids"][-4 * n :], "<u4") for r, n in zip(asked, sizes)])[order]
+        differ = np.minimum.reduceat(around, first) != np.maximum.reduceat(around, first)
+        differ |= np.maximum.reduceat(several[order], first) > 0
+        said[order] = np.repeat(differ, many)
     else:
         said[order] = np.repeat(many > 1, many)
         for r, n, end in zip(asked, sizes, np.cumsum(sizes)):
