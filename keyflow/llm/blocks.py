@@ -46,12 +46,12 @@ class Blocks:
         return max(self.partitions // 4, math.ceil(self.total / bytes_per_hash / (part_hashes * grown)), 1)
 
 
-def blocks(df: DataFrame, key: Column, text: Column) -> Blocks:
+def blocks(df: DataFrame, key: Column, text: Column, block_bytes: int = BLOCK_BYTES) -> Blocks:
     """Deals texts out. Rows of a block were read one after the other; long texts stand alone."""
     size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
     total, n = size["bytes"], max(size["n"], 1)
     grown = max(1.0, math.sqrt(total / STEADY_BYTES))
-    per_block = max(1, int(BLOCK_BYTES * grown * n / max(total, 1)))
+    per_block = max(1, int(block_bytes * grown * n / max(total, 1)))
     per_block = min(per_block, 1 << 20)
     cores = df.sparkSession.sparkContext.defaultParallelism
     partitions = max(2 * cores, math.ceil(total / (PARTITION_BYTES * grown)))

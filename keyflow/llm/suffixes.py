@@ -34,7 +34,8 @@ SPAN = LENGTH - DEPTH  # from the first to the last place of a 26-gram in a stri
 HALF = SPAN // 2
 PAD = LENGTH + SPAN  # bytes of no document between documents
 CHUNK_BYTES = 1 << 18  # worked on at once, small enough for a processor's cache
-PART_HASHES = 1 << 20
+BLOCK_BYTES = 2 << 20  # a task holds some thirty bytes for each byte of a block
+PART_HASHES = 2 << 20
 LAST = np.iinfo(np.int64).max  # stands for a null id: after all others
 
 # An identifier for each byte, and one for the padding.
@@ -366,4 +367,4 @@ def deduplicate(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
     Strings are compared by 64-bit identifiers. A block's distinct identifiers leave it once, whatever
     number of its documents have them.
     """
-    return _searched(blocks(df, F.col(key), F.col(text))).withColumnRenamed("id", key)
+    return _searched(blocks(df, F.col(key), F.col(text), BLOCK_BYTES)).withColumnRenamed("id", key)
