@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from keyflow.catalog import query
 from keyflow.catalog.sql import READINGS, WORDS
-from keyflow.operators import distribute, joins, running, split, transforms
+from keyflow.functions.text import format_millis, message
+from keyflow.operators import distribute, joins, running, split, transforms, windows
 from keyflow.schema import lines, readings, table
-from keyflow.sources.lines import generate, parse, parse_or_reject
+from keyflow.session import scratch_dir
+from keyflow.sources.lines import generate, parse, parse_or_reject, text_file
 
 
 @query(f"WITH {WORDS} SELECT word, count(*) AS cnt FROM w GROUP BY word")
@@ -143,11 +145,53 @@ def rebalance_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(f"WITH {READINGS} SELECT count(*) AS cnt, count(DISTINCT seq) AS seqs FROM r")
+@query(
+    f"""WITH {READINGS}
+    SELECT count(*) AS cnt, count(DISTINCT seq) AS seqs, CAST({TASKS} AS BIGINT) AS tasks, true AS even, true AS mixed FROM r"""
+)
 def shuffle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nothing is lost or doubled when rows are dealt out by chance or tasks are merged."""
-    moved = distribute.rescale(distribute.shuffle(readings(spark, sf_dir).select("seq"), 2 * TASKS, ["seq"]), TASKS)
-    return moved.agg(F.count("*").alias("cnt"), F.count_distinct("seq").alias("seqs"))
+    """Rows dealt out by chance to twice as many tasks, which are then merged.
+
+    Nothing is lost or doubled, no task has a half more than its share, and each has rows of the
+    first and of the last quarter, which lie apart in the file.
+    """
+    rows = readings(spark, sf_dir).select("seq")
+    bounds = rows.agg(F.min("seq").alias("low"), F.max("seq").alias("high"))
+    moved = distribute.rescale(distribute.shuffle(rows, 2 * TASKS, ["seq"]), TASKS)
+    placed = moved.withColumn("task", F.spark_partition_id()).crossJoin(F.broadcast(bounds))  # one row of bounds
+    part = (F.col("seq") - F.col("low")) / (F.col("high") - F.col("low"))
+    tasks = placed.groupBy("task").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("seq").alias("seqs"),
+        (F.count_if(part < 0.25) > 0).alias("early"),
+        (F.count_if(part > 0.75) > 0).alias("late"),
+    )
+    return tasks.agg(
+        F.sum("n").alias("cnt"),
+        F.sum("seqs").alias("seqs"),
+        F.count("*").alias("tasks"),
+        (F.max("n") <= F.sum("n") * 1.5 / TASKS).alias("even"),
+        F.bool_and(F.col("early") & F.col("late")).alias("mixed"),
+    )
+
+
+@query(
+    f"""WITH {READINGS}
+    SELECT id, ts, strftime(ts, '%Y-%m-%d %H:%M:%S.000') AS at, 'sensor ' || id || ' at level ' || vc AS note
+    FROM (SELECT id, date_trunc('second', ts) AS ts, vc FROM r)"""
+)
+def lines_of_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings written as lines of text, read back, parsed, given event time, and put into words."""
+    path = f"{scratch_dir(spark, 'lines')}/lines"
+    rows = readings(spark, sf_dir).select("id", F.unix_seconds(F.col("ts").cast("timestamp")).alias("s"), "vc")
+    rows.select(F.concat_ws(",", "id", "s", "vc").alias("value")).write.text(path)
+    parsed = parse(text_file(spark, path)).withColumn("ts", windows.event_time("ts"))
+    return parsed.select(
+        F.col("id").cast("long").alias("id"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
+        format_millis("ts").alias("at"),
+        message("sensor %s at level %s", "id", "vc").alias("note"),
+    )
 
 
 @query(

@@ -1,5 +1,7 @@
 """Streaming twins: the tables are read as streams, worked off, and the written result read back."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,23 +20,19 @@ from keyflow.catalog.sql import READINGS, WORDS, bucket
 from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, SLIDING_SQL, SUMS
 from keyflow.operators import joins, running, topn, transforms, windows
 from keyflow.plans import hotsplit
-from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, as_readings, table, text_lines, with_arrival
+from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, as_readings, readings, table, text_lines, with_arrival
 from keyflow.session import scratch_dir
-from keyflow.sinks.writers import bucketed_text_stream
+from keyflow.sinks.writers import BatchWriter, bucketed_text_stream
 from keyflow.sources.lines import parquet_stream
-from keyflow.streaming import carry, stateful
+from keyflow.streaming import carry
 from keyflow.streaming.run import latest_update, read_batches, run_query, run_to_folder, start
+from keyflow.streaming.slices import run_in_slices
 
 HOUR = 3600
 
-# Bounds a micro-batch of the stateful processors, and with it what they order in one task.
-PROCESSOR_BATCH_BYTES = 256 * 1024 * 1024
-
-
-def events_stream(spark: SparkSession, sf_dir: str, bytes_per_trigger: int | None = None) -> DataFrame:
-    """Readings as a stream. The glob takes one file as well as a folder of files."""
-    path = f"{sf_dir}/[e]vents.parquet"
-    return as_readings(parquet_stream(spark, path, EVENT, bytes_per_trigger=bytes_per_trigger))
+def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings as a stream, in no order. The glob takes one file as well as a folder of files."""
+    return as_readings(parquet_stream(spark, f"{sf_dir}/[e]vents.parquet", EVENT))
 
 
 def timed(df: DataFrame, delay: str) -> DataFrame:
@@ -68,6 +66,28 @@ def restart_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_update(batches, ["word"])
 
 
+def _in_order(df: DataFrame, order: list[str], folder: str, write: BatchWriter) -> None:
+    """Hands a table to a stream slice by slice of its order."""
+    run_in_slices(df, order, folder, lambda stream: run_query(stream, write, f"{folder}/checkpoint"))
+
+
+def _sliced(spark: SparkSession, sf_dir: str, label: str, op: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
+    """What a streaming operator writes for the readings, batch by batch."""
+    folder = scratch_dir(spark, label)
+    events = table(spark, sf_dir, "events").select(*EVENT.names)
+    run_in_slices(events, ["ts"], folder, lambda stream: run_to_folder(op(as_readings(stream)), folder, mode))
+    schema = op(as_readings(spark.readStream.schema(EVENT).parquet(f"{folder}/in"))).schema
+    return read_batches(spark, f"{folder}/out", schema)
+
+
+def _by_key(spark: SparkSession, sf_dir: str, label: str, keys=("id",), finish=lambda rows: rows, columns=None, **scans) -> DataFrame:
+    """Running values per key over the readings as a stream."""
+    folder = scratch_dir(spark, label)
+    rows = readings(spark, sf_dir).select("seq", "id", "ts", running.level_or_zero().alias("vc")).withColumns(columns or {})
+    _in_order(rows, ARRIVAL_ORDER, folder, carry.running_by_key(folder, list(keys), ARRIVAL_ORDER, finish, **scans))
+    return spark.read.parquet(f"{folder}/rows")
+
+
 def _so_far(expression: str, name: str) -> str:
     return f"""WITH {READINGS}
     SELECT seq, id, CAST({expression} OVER (PARTITION BY id ORDER BY ts, seq) AS BIGINT) AS {name} FROM r"""
@@ -76,10 +96,7 @@ def _so_far(expression: str, name: str) -> str:
 @query(_so_far("sum(vc)", "sum_vc"))
 def stream_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One output row per record, micro-batches continuing one another."""
-    folder = scratch_dir(spark, "running")
-    write = carry.running_by_key(folder, ["id"], ARRIVAL_ORDER, sum_vc=hotsplit.total("vc"))
-    run_query(events_stream(spark, sf_dir), write, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/rows").select("seq", "id", "sum_vc")
+    return _by_key(spark, sf_dir, "running", sum_vc=hotsplit.total("vc")).select("seq", "id", "sum_vc")
 
 
 @query(
@@ -89,9 +106,11 @@ def stream_running_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_window_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows that fire again with each late row allowed: the watermark waits for delay plus lateness,
     and every change is emitted. Read back is the newest firing of each window."""
-    stream = timed(events_stream(spark, sf_dir), "90 minutes")
-    sums = windows.time_window(stream, ["id"], "ts", "1 hour", cnt=F.count("*"), sum_vc=F.sum("vc"))
-    batches = run_to_folder(sums, scratch_dir(spark, "updates"), "update")
+
+    def sums(stream: DataFrame) -> DataFrame:
+        return windows.time_window(timed(stream, "90 minutes"), ["id"], "ts", "1 hour", cnt=F.count("*"), sum_vc=F.sum("vc"))
+
+    batches = _sliced(spark, sf_dir, "updates", sums, "update")
     return _local(latest_update(batches, ["id", *windows.BOUNDS]), *windows.BOUNDS)
 
 
@@ -105,10 +124,11 @@ CLOSED = "window_end <= (SELECT max(ts) FROM r) - INTERVAL 1 HOUR"
 )
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows the watermark has closed."""
-    stream = timed(events_stream(spark, sf_dir), "1 hour")
-    sums = windows.time_window(stream, ["id"], "ts", "1 hour", cnt=F.count("*"), sum_vc=F.sum("vc"))
-    out = run_to_folder(sums, scratch_dir(spark, "tumbling"))
-    return _local(out.drop("batch"), *windows.BOUNDS)
+
+    def sums(stream: DataFrame) -> DataFrame:
+        return windows.time_window(timed(stream, "1 hour"), ["id"], "ts", "1 hour", cnt=F.count("*"), sum_vc=F.sum("vc"))
+
+    return _local(_sliced(spark, sf_dir, "tumbling", sums).drop("batch"), *windows.BOUNDS)
 
 
 @query(
@@ -121,12 +141,11 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT * FROM g WHERE {CLOSED}"""
 )
 def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = timed(events_stream(spark, sf_dir), "1 hour")
-    sessions = windows.session_window(
-        stream, ["id"], "ts", 8 * HOUR, ARRIVAL_ORDER, cnt=F.count("*"), sum_vc=F.sum("vc")
-    )
-    out = run_to_folder(sessions, scratch_dir(spark, "session"))
-    return _local(out.drop("batch"), *windows.BOUNDS)
+    def sessions(stream: DataFrame) -> DataFrame:
+        sums = {"cnt": F.count("*"), "sum_vc": F.sum("vc")}
+        return windows.session_window(timed(stream, "1 hour"), ["id"], "ts", 8 * HOUR, ARRIVAL_ORDER, **sums)
+
+    return _local(_sliced(spark, sf_dir, "session", sessions).drop("batch"), *windows.BOUNDS)
 
 
 @query(
@@ -137,37 +156,36 @@ def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_top_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts close window by window; each micro-batch of closed windows is ranked when written."""
     folder = scratch_dir(spark, "topn")
-    stream = timed(events_stream(spark, sf_dir), "1 hour")
-    counts = windows.time_window(stream, ["vc"], "ts", "1 hour", "30 minutes", cnt=F.count("*"))
+    events = table(spark, sf_dir, "events").select(*EVENT.names)
+
+    def counts(stream: DataFrame) -> DataFrame:
+        timed_rows = timed(as_readings(stream), "1 hour")
+        return windows.time_window(timed_rows, ["vc"], "ts", "1 hour", "30 minutes", cnt=F.count("*"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         topn.rank_counts(batch, "vc", 2).write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
-    run_query(counts, write, f"{folder}/checkpoint")
-    schema = counts.withColumn("rank", F.lit(0)).schema
+    run_in_slices(events, ["ts"], folder, lambda stream: run_query(counts(stream), write, f"{folder}/checkpoint"))
+    schema = counts(spark.readStream.schema(EVENT).parquet(f"{folder}/in")).withColumn("rank", F.lit(0)).schema
     return _local(read_batches(spark, f"{folder}/out", schema).drop("batch"), *windows.BOUNDS)
 
 
 @query(interval_sql("click", "purchase", "-2 hours", "2 hours"))
 def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sides = [
-        side(events_stream(spark, sf_dir), kind, name)
-        .withColumn(f"{name}_ts", F.col(f"{name}_ts").cast("timestamp"))
-        .withWatermark(f"{name}_ts", "1 hour")
-        for kind, name in (("click", "left"), ("purchase", "right"))
-    ]
-    joined = joins.interval_join_stream(*sides, ["id"], "left_ts", "right_ts", -2 * HOUR, 2 * HOUR, ["left_seq"], salts=4)
-    out = run_to_folder(joined, scratch_dir(spark, "interval"))
+    def pairs(stream: DataFrame) -> DataFrame:
+        sides = [
+            side(stream, kind, name)
+            .withColumn(f"{name}_ts", F.col(f"{name}_ts").cast("timestamp"))
+            .withWatermark(f"{name}_ts", "1 hour")
+            for kind, name in (("click", "left"), ("purchase", "right"))
+        ]
+        span = (-2 * HOUR, 2 * HOUR)
+        return joins.interval_join_stream(*sides, ["id"], "left_ts", "right_ts", *span, ["left_seq"], salts=4)
+
+    out = _sliced(spark, sf_dir, "interval", pairs)
     return _local(out, "left_ts", "right_ts").select(*PAIR)
 
 
-def _stateful(spark: SparkSession, sf_dir: str, processor, keys=("id",), **columns) -> DataFrame:
-    stream = events_stream(spark, sf_dir, PROCESSOR_BATCH_BYTES).withColumns(columns)
-    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
-    out = stateful.keyed_process(stream, list(keys), processor, processor.OUTPUT)
-    return run_to_folder(out, scratch_dir(spark, type(processor).__name__))
-
-
 @query(
     f"""WITH {READINGS}
     SELECT seq, id, vc AS curr, last FROM (
@@ -175,18 +193,26 @@ def _stateful(spark: SparkSession, sf_dir: str, processor, keys=("id",), **colum
     WHERE abs(vc - last) > 10"""
 )
 def stream_jump_alarm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stateful(spark, sf_dir, stateful.JumpAlarm()).select("seq", "id", "curr", "last")
+    def jumps(rows: DataFrame) -> DataFrame:
+        seen = rows.select("seq", "id", F.col("vc").alias("curr"), F.coalesce("last", F.lit(0)).alias("last"))
+        return seen.filter(F.abs(F.col("curr") - F.col("last")) > 10)
+
+    last = hotsplit.latest("vc", ARRIVAL_ORDER).before()
+    return _by_key(spark, sf_dir, "jumps", finish=jumps, last=last).select("seq", "id", "curr", "last")
 
 
 @query(TOP3_SQL)
 def stream_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = _stateful(spark, sf_dir, stateful.TopLevels())
+    folder = scratch_dir(spark, "top")
+    rows = readings(spark, sf_dir).select("seq", "id", "ts", "vc")
+    _in_order(rows, ARRIVAL_ORDER, folder, carry.top_by_key(folder, ["id"], ARRIVAL_ORDER))
+    out = spark.read.parquet(f"{folder}/rows")
     return out.select("seq", "id", F.array_join(F.col("top").cast("array<string>"), ",").alias("top"))
 
 
 @query(LEVEL_COUNTS_SQL)
 def stream_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stateful(spark, sf_dir, stateful.LevelCounter()).select("seq", "id", "vc", "cnt")
+    return _by_key(spark, sf_dir, "levels", ("id", "vc"), cnt=hotsplit.count()).select("seq", "id", "vc", "cnt")
 
 
 @query(
@@ -194,7 +220,10 @@ def stream_level_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT seq, id, avg(vc) OVER (PARTITION BY id ORDER BY ts, seq) AS mean FROM r"""
 )
 def stream_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stateful(spark, sf_dir, stateful.RunningMean()).select("seq", "id", "mean")
+    def mean(rows: DataFrame) -> DataFrame:
+        return rows.select("seq", "id", (F.col("total") / F.col("n")).alias("mean"))
+
+    return _by_key(spark, sf_dir, "mean", finish=mean, total=hotsplit.total("vc"), n=hotsplit.count()).drop("batch")
 
 
 @query(
@@ -202,8 +231,14 @@ def stream_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT seq, seq % 4 AS bucket, row_number() OVER (PARTITION BY seq % 4 ORDER BY ts, seq) AS cnt FROM r"""
 )
 def stream_bucket_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counter = _stateful(spark, sf_dir, stateful.TaskCounter(), ("bucket",), bucket=F.pmod("seq", F.lit(4)))
-    return counter.select("seq", "bucket", "cnt")
+    buckets = {"bucket": F.pmod("seq", F.lit(4))}
+    out = _by_key(spark, sf_dir, "buckets", ("bucket",), columns=buckets, cnt=hotsplit.count())
+    return out.select("seq", "bucket", "cnt")
+
+
+def _in_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = readings(spark, sf_dir).select("seq", "id", "ts")
+    return rows.withColumn("ts", F.date_trunc("millisecond", F.col("ts").cast("timestamp")).cast("timestamp_ntz"))
 
 
 @query(
@@ -214,11 +249,9 @@ def stream_bucket_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_event_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timers the watermark has reached; timers count in milliseconds."""
-    stream = stateful.with_millis(timed(events_stream(spark, sf_dir, PROCESSOR_BATCH_BYTES), "1 hour"))
-    fired = stateful.keyed_process(
-        stream, ["id"], stateful.EventTimers(HOUR * 1000), stateful.TIMER_OUTPUT, time_mode="EventTime"
-    )
-    return _local(run_to_folder(fired, scratch_dir(spark, "timers")), "fires_at").select("id", "fires_at")
+    folder = scratch_dir(spark, "timers")
+    _in_order(_in_millis(spark, sf_dir), ARRIVAL_ORDER, folder, carry.event_timers(folder, ["id"], "ts", "1 HOUR", "1 HOUR"))
+    return spark.read.parquet(f"{folder}/fired").select("id", "fires_at")
 
 
 @query(
@@ -230,29 +263,67 @@ def stream_event_timers(spark: SparkSession, sf_dir: str) -> DataFrame:
        OR (next IS NULL AND ts + INTERVAL 12 HOUR <= (SELECT max(ts) FROM m) - INTERVAL 1 HOUR)"""
 )
 def stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = stateful.with_millis(timed(events_stream(spark, sf_dir, PROCESSOR_BATCH_BYTES), "1 hour"))
-    fired = stateful.keyed_process(
-        stream, ["id"], stateful.SilenceAlarm(12 * HOUR * 1000), stateful.TIMER_OUTPUT, time_mode="EventTime"
-    )
-    return _local(run_to_folder(fired, scratch_dir(spark, "silence")), "fires_at").select("id", "fires_at")
+    folder = scratch_dir(spark, "silence")
+    write = carry.silence_alarms(folder, ["id"], "ts", ARRIVAL_ORDER, "12 HOUR", "1 HOUR")
+    _in_order(_in_millis(spark, sf_dir), ARRIVAL_ORDER, folder, write)
+    return spark.read.parquet(f"{folder}/fired").select("id", "fires_at")
+
+
+@query(
+    f"""WITH {READINGS}
+    SELECT l.id, l.seq AS left_seq, p.seq AS right_seq, {bucket("l.ts", 5)} AS window_start,
+           {bucket("l.ts", 5)} + INTERVAL 5 HOUR AS window_end
+    FROM r l JOIN r p ON l.id = p.id AND {bucket("l.ts", 5)} = {bucket("p.ts", 5)}
+    WHERE l.event_type = 'click' AND p.event_type = 'purchase'"""
+)
+def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of the same window, found as they arrive."""
+
+    def pairs(stream: DataFrame) -> DataFrame:
+        sides = [
+            side(stream, kind, name)
+            .withColumn(f"{name}_ts", F.col(f"{name}_ts").cast("timestamp"))
+            .withWatermark(f"{name}_ts", "1 hour")
+            for kind, name in (("click", "left"), ("purchase", "right"))
+        ]
+        ids = (["left_seq"], ["right_seq"])
+        joined = joins.window_join(*sides, ["id"], "left_ts", "right_ts", "5 hours", *ids, salts=4)
+        return joined.select("id", "left_seq", "right_seq", *windows.BOUNDS)
+
+    return _local(_sliced(spark, sf_dir, "window-join", pairs).drop("batch"), *windows.BOUNDS)
+
+
+@query(
+    f"""WITH {READINGS}
+    SELECT l.id, l.seq AS left_seq, p.seq AS right_seq FROM r l JOIN r p ON l.id = p.id
+    WHERE l.event_type = 'purchase' AND p.event_type = 'signup'"""
+)
+def stream_keyed_connect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of two streams with the same key, each once, however far apart they come."""
+
+    def pairs(stream: DataFrame) -> DataFrame:
+        sides = [side(stream, kind, name) for kind, name in (("purchase", "left"), ("signup", "right"))]
+        joined = joins.keyed_connect(*sides, ["id"], ["left_seq"], ["right_seq"], salts=4)
+        return joined.select("id", "left_seq", "right_seq")
+
+    return _sliced(spark, sf_dir, "connect", pairs).drop("batch")
 
 
 @query(LATE_CLASSIFY_SQL)
 def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted and late rows, read back from their two outputs."""
     folder = scratch_dir(spark, "late")
-    stream = with_arrival(events_stream(spark, sf_dir).select("seq", "id", "ts", "vc"))
+    rows = with_arrival(readings(spark, sf_dir).select("seq", "id", "ts", "vc"))
     write = carry.late_split(folder, "ts", "1 hour", "1 hour", "30 minutes", ["arrival", "seq"])
-    run_query(stream, write, f"{folder}/checkpoint")
+    _in_order(rows, ["arrival", "seq"], folder, write)
     parts = [spark.read.parquet(f"{folder}/{name}") for name in ("accepted", "late")]
     return joins.union_all(*parts).select("seq", "id", "ts", "window_end", "status")
 
 
 def _split_sides(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_dir(spark, "sides")
-    stream = clicks_and_purchases(events_stream(spark, sf_dir))
     write = carry.late_split_of_sides(folder, "ts", "1 hour", ["arrival", "seq"])
-    run_query(stream, write, f"{folder}/checkpoint")
+    _in_order(clicks_and_purchases(readings(spark, sf_dir)), ["arrival", "seq"], folder, write)
     return folder
 
 
@@ -278,7 +349,7 @@ def stream_join_on_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "threshold")
     write = carry.threshold_alerts(folder, F.col("event_type") == "signup", "vc", ARRIVAL_ORDER)
-    run_query(events_stream(spark, sf_dir), write, f"{folder}/checkpoint")
+    _in_order(readings(spark, sf_dir), ARRIVAL_ORDER, folder, write)
     return spark.read.parquet(f"{folder}/alerts").select("seq", "id", "ts", "vc", "threshold")
 
 

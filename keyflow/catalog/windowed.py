@@ -136,10 +136,22 @@ def window_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.window_fold(readings(spark, sf_dir), KEY, "ts", "1 hour", Mean(), ["vc"], "mean", T.DoubleType())
 
 
-@query(_hourly("CAST(0 AS INTEGER) AS page, count(*) AS cnt, string_agg(vc, ',' ORDER BY ts, seq) AS elements"))
+@query(
+    f"""WITH {READINGS}, h AS (SELECT *, {bucket("ts")} AS window_start FROM r)
+    SELECT id, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+           row_number() OVER (PARTITION BY id, window_start ORDER BY ts, seq) AS position,
+           count(*) OVER (PARTITION BY id, window_start) AS cnt, vc AS element
+    FROM h"""
+)
 def window_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = windows.window_process(readings(spark, sf_dir), KEY, "ts", "1 hour", ARRIVAL_ORDER, F.col("vc").cast("string"))
-    return pages.withColumn("elements", F.array_join("elements", ","))
+    return windows.window_process(readings(spark, sf_dir), KEY, "ts", "1 hour", ARRIVAL_ORDER, F.col("vc"))
+
+
+@query(_hourly("count(*) AS cnt, string_agg(vc, ',' ORDER BY ts, seq) AS elements"))
+def window_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key's readings of one hour are few."""
+    rows = windows.window_process(readings(spark, sf_dir), KEY, "ts", "1 hour", ARRIVAL_ORDER, F.col("vc").cast("string"))
+    return windows.window_lists(rows, KEY).withColumn("elements", F.array_join("elements", ","))
 
 
 @query(_hourly("CAST(1 AS BIGINT) AS cnt, CAST(sum(vc) AS BIGINT) AS sum_vc"))

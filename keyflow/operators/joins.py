@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from keyflow.operators.lateness import classify_sides
 from keyflow.plans import hotsplit
 from keyflow.plans.saltjoin import salted, skew_join
+from keyflow.plans.store import stored
 
 
 def union_all(*inputs: DataFrame) -> DataFrame:
@@ -143,9 +144,9 @@ def interval_join_with_late(
     """Interval join of the records in time, and the late records of both sides.
 
     ``merged`` holds both inputs in one table with a ``side`` column. The sides' columns come out
-    prefixed with ``left_`` and ``right_``.
+    prefixed with ``left_`` and ``right_``. Lateness is worked out once and stored.
     """
-    classified = classify_sides(merged, time, delay, order)
+    classified = stored(classify_sides(merged, time, delay, order), "sides")
     on_time = classified.filter(~F.col("is_late"))
 
     def one_side(both: DataFrame, side: str) -> DataFrame:

@@ -6,7 +6,7 @@ A running operator gives one output row per input row, carrying the aggregate of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,8 +24,24 @@ def word_count(words: DataFrame) -> DataFrame:
     return words.groupBy("word").agg(F.count("*").alias("cnt"))
 
 
-def word_count_running(words: DataFrame, order: Sequence[str]) -> DataFrame:
-    return running(words, ["word"], order, cnt=hotsplit.count())
+def word_count_running(
+    words: DataFrame, order: Sequence[str], measured: DataFrame | None = None, share: float = 1.0
+) -> DataFrame:
+    """How often each word has occurred so far. Sizes are taken from ``measured``, a share of the words, if given."""
+    return running(words, ["word"], order, measured, share, cnt=hotsplit.count())
+
+
+def running_reduce(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    agg: Column,
+    combine: Callable[[Column], Column],
+    merge: Callable[[Column, Column], Column],
+    name: str = "reduced",
+) -> DataFrame:
+    """A reduce that the caller gives as Columns: an aggregate, the same over aggregates, and over two of them."""
+    return running(df, keys, order, **{name: hotsplit.Running(agg, combine, merge)})
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
@@ -59,9 +75,17 @@ def _best(df: DataFrame, order: Sequence[str], value: str, smallest: bool) -> Co
 
 
 def _descending(df: DataFrame, name: str) -> Column:
+    """A value that falls where the column rises."""
     kind = df.schema[name].dataType.typeName()
     if kind.startswith("timestamp"):
         return -F.unix_micros(F.col(name).cast("timestamp"))
+    if kind == "date":
+        return -F.unix_date(name)
+    if kind == "boolean":
+        return ~F.col(name)
+    if kind in ("string", "binary"):
+        # The bytes turned round, and an end mark above them, since a text comes before its continuations.
+        return F.concat(F.translate(F.hex(name), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
     return -F.col(name)
 
 
@@ -119,16 +143,30 @@ def top_final(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: s
     return rows.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= n)
 
 
-def top_running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = "vc", n: int = 3) -> DataFrame:
-    """After each record, the ``n`` largest levels of its key so far, as the array ``top``."""
+def largest(n: int, *lists: Column) -> Column:
+    """The ``n`` largest values of several arrays, any of which may be null."""
+    both = F.concat(*[F.coalesce(values, F.array().cast("array<int>")) for values in lists])
+    return F.slice(F.sort_array(both, asc=False), 1, n)
+
+
+def top_running(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str = "vc", n: int = 3, start: DataFrame | None = None
+) -> DataFrame:
+    """After each record, the ``n`` largest levels of its key so far, as the array ``top``.
+
+    ``start`` holds the arrays of an earlier table that this one continues.
+    """
     ordered = KeyedOrder(df, keys, order)
     levels = ordered.rows.withColumn("_level", level_or_zero(value))
     local = _top_chain(levels, ordered.window(exclusive=True), n)
     if ordered.cut:
         early = as_right(_earlier_top(ordered, levels, n), ordered.partition)
         local = local.join(F.broadcast(early), match(local, early, ordered.partition), "left")
-        both = F.concat("top", F.coalesce("_early", F.array().cast("array<int>")))
-        local = local.withColumn("top", F.slice(F.sort_array(both, asc=False), 1, n))
+        local = local.withColumn("top", largest(n, F.col("top"), F.col("_early")))
+    if start is not None:
+        before = ordered.spread_start(ordered.rows, start.withColumnRenamed("top", "_start"))
+        local = local.join(before, match(local, before, ordered.partition), "left")
+        local = local.withColumn("top", largest(n, F.col("top"), F.col("_start")))
     return local.select(*df.columns, "top")
 
 

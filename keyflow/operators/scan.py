@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 import pickle
 from collections.abc import Iterator, Sequence
 
@@ -25,6 +26,11 @@ def _tuples(batch: pa.RecordBatch, names: Sequence[str]) -> list[tuple]:
     return list(zip(*columns)) if columns else [()] * batch.num_rows
 
 
+def _frozen(result: object) -> object:
+    """The result as it is now: accumulators may hand out the very state that they go on changing."""
+    return result if isinstance(result, (str, int, float, bool, bytes, type(None))) else copy.deepcopy(result)
+
+
 def fold(df: DataFrame, keys: Sequence[str], accumulator: Accumulator, inputs: Sequence[str], output: str, output_type: T.DataType) -> DataFrame:
     """One row per key with the accumulator's result. The fold must not depend on row order.
 
@@ -143,7 +149,7 @@ def keyed_scan(
                     continue
                 state = accumulator.add(state, row)
                 keep.append(True)
-                made.append(accumulator.result(state))
+                made.append(_frozen(accumulator.result(state)))
             kept = batch.filter(pa.array(keep, type=pa.bool_()))
             arrays = [kept.column(name) for name in columns] + [pa.array(made, type=kind)]
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)

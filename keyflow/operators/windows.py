@@ -7,10 +7,12 @@ are combined before the shuffle and a crowded window or key costs nothing extra.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyflow.functions.accumulator import Accumulator
 from keyflow.operators import scan
@@ -89,28 +91,40 @@ def window_fold(
 
 
 def window_process(
-    df: DataFrame,
+    df: DataFrame, keys: Sequence[str], time: str, size: str, order: Sequence[str], element: Column
+) -> DataFrame:
+    """The elements of each window, one row each: bounds, ``position`` from 1, ``cnt`` of the window, ``element``."""
+    ordered = KeyedOrder(with_window(df, time, size), [*keys, *BOUNDS], order)
+    numbered = ordered.run(ordered.rows, position=hotsplit.count())
+    counted = ordered.totals(numbered, "cnt", F.count(F.lit(1)), F.sum)
+    return counted.select(*keys, *BOUNDS, "position", "cnt", element.alias("element"))
+
+
+def window_lists(elements: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``window_process`` as one array per window. The caller vouches for windows that fit into a row."""
+    pairs = F.array_sort(F.collect_list(F.struct("position", "element")))
+    grouped = elements.groupBy(*keys, *BOUNDS).agg(F.max("cnt").alias("cnt"), pairs.alias("_list"))
+    return grouped.withColumn("elements", F.col("_list.element")).drop("_list")
+
+
+def window_pages(
+    elements: DataFrame,
     keys: Sequence[str],
-    time: str,
-    size: str,
-    order: Sequence[str],
-    element: Column,
+    function: Callable[[tuple, pa.Table], pa.Table],
+    schema: T.StructType | str,
     page_rows: int = 10_000,
 ) -> DataFrame:
-    """The elements of each window in order, with the window's bounds and count.
+    """Calls ``function`` with key, bounds and page number, and the elements of that page of a window in order.
 
-    A window comes as one row, unless it holds more than ``page_rows`` elements: then as several
-    rows (``page`` 0, 1, ...), each with the count of the whole window.
+    The rows are those of ``window_process``. Every window is handed over in pages of ``page_rows``
+    elements, so that no task holds a whole crowded one; each element carries the count of its window.
     """
-    ordered = KeyedOrder(with_window(df, time, size), [*keys, *BOUNDS], order)
-    numbered = ordered.run(ordered.rows, _n=hotsplit.count())
-    counted = ordered.totals(numbered, "cnt", F.count(F.lit(1)), F.sum)
-    paged = counted.withColumn("page", F.floor((F.col("_n") - 1) / page_rows).cast("int"))
-    pages = paged.groupBy(*keys, *BOUNDS, "page").agg(
-        F.max("cnt").alias("cnt"),
-        F.array_sort(F.collect_list(F.struct("_n", element.alias("_element")))).alias("_list"),
-    )
-    return pages.withColumn("elements", F.col("_list._element")).drop("_list")
+    paged = elements.withColumn("page", F.floor((F.col("position") - 1) / page_rows).cast("int"))
+
+    def call(key, page):
+        return function(tuple(part.as_py() for part in key), page.sort_by("position"))
+
+    return paged.groupBy(*keys, *BOUNDS, "page").applyInArrow(call, schema)
 
 
 def session_window(

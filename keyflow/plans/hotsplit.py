@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import dataclasses
 import itertools
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -134,13 +135,20 @@ class KeyedOrder:
 
     The key sizes are those of ``measured``, which has the same key and order columns. It may be
     given when ``df`` is expensive and its keys are no larger than those of something cheaper.
+    ``share`` says which share of the rows it holds, if it is a sample itself.
     """
 
     def __init__(
-        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], measured: DataFrame | None = None
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        measured: DataFrame | None = None,
+        share: float = 1.0,
     ):
         self.keys = list(keys)
         self.order = list(order)
+        self.share = share
         self.cut = False
         self.rows = self._cut_rows(df, df if measured is None else measured)
         self.partition = self.keys + ([CHUNK] if self.cut else [])
@@ -150,7 +158,7 @@ class KeyedOrder:
         base = rows_per_task(spark)
         measured = measured.select(*self.keys, *self.order)
         if not self.keys:
-            size = measured.count()
+            size = int(measured.count() / self.share)
             spread = max(MIN_ROWS_PER_TASK, -(-size // spark.sparkContext.defaultParallelism))
             limit = max(min(base, spread), -(-size // MAX_CHUNKS))
             if size <= limit:
@@ -159,15 +167,19 @@ class KeyedOrder:
             _, cuts, longest = self._cut_points(measured, limit)
             return self._locate(df, cuts, F.lit(0), F.lit(longest), longest).select(*df.columns, CHUNK)
 
-        step = sample_step(base)
+        step = self._step(base)
         sample = hash_sample(measured, step, [*self.keys, *self.order])
-        counts = sample.groupBy(*self.keys).agg(F.count("*").alias("n"))
-        size, biggest = counts.agg(F.sum("n"), F.max("n")).first()
-        limit = max(base, -(-(size or 0) * step // MAX_CHUNKS))
-        if not size or biggest * step <= limit:
-            return df
+        stands_for = step / self.share
+        counts = sample.groupBy(*self.keys).agg((F.count("*") * stands_for).alias("n")).persist()
+        try:
+            size, biggest = counts.agg(F.sum("n"), F.max("n")).first()
+            limit = max(base, math.ceil((size or 0) / MAX_CHUNKS))
+            if not size or biggest <= limit:
+                return df
+            hot = as_right(small_copy(counts.filter(F.col("n") > limit).drop("n")), self.keys)
+        finally:
+            counts.unpersist()
         self.cut = True
-        hot = as_right(small_copy(counts.filter(F.col("n") * step > limit).drop("n")), self.keys)
         hot_rows = measured.join(F.broadcast(hot), match(measured, hot, self.keys), "left_semi")
         ranges, cuts, longest = self._cut_points(hot_rows, limit)
         ranges = as_right(ranges, self.keys)
@@ -175,14 +187,18 @@ class KeyedOrder:
         placed = self._locate(ranged, cuts, F.col(_START), F.col(_COUNT), longest)
         return placed.select(*df.columns, CHUNK, F.col(_COUNT).isNotNull().alias(HOT))
 
+    def _step(self, limit: int) -> int:
+        """One row in how many is kept of what is measured."""
+        return max(1, int(sample_step(limit) * self.share))
+
     def _cut_points(self, df: DataFrame, limit: int) -> tuple[DataFrame, Column, int]:
         """Positions that cut the rows of each key into chunks of about ``limit`` rows.
 
         All cut points form one sorted array, given as a scalar subquery so that no row has to carry
         it. Comes with each key's range in that array, and the length of the longest range.
         """
-        step = sample_step(limit)
-        every = max(1, limit // step)
+        step = self._step(limit)
+        every = max(1, int(limit * self.share) // step)
         sample = hash_sample(df, step, [*self.keys, *self.order]).select(*self.keys, F.struct(*self.order).alias(_POS))
         ranked = Window.partitionBy(*self.keys).orderBy(_POS)
         picked = sample.withColumn("_n", F.row_number().over(ranked)).filter(F.col("_n") % every == 0)
@@ -241,8 +257,8 @@ class KeyedOrder:
             values = {name: scan.merge(F.col(f"_early_{name}"), values[name]) for name, scan in scans.items()}
         if start is not None:
             before = start.withColumnsRenamed({name: f"_start_{name}" for name in scans})
-            before = as_right(before, self.keys)
-            rows = rows.join(before, match(rows, before, self.keys), "left")
+            before = self.spread_start(df, before)
+            rows = rows.join(before, match(rows, before, self.partition), "left")
             values = {name: scan.merge(F.col(f"_start_{name}"), values[name]) for name, scan in scans.items()}
         finished = [scan.finish(values[name]).alias(name) for name, scan in scans.items()]
         return rows.select(*df.columns, *finished)
@@ -260,6 +276,15 @@ class KeyedOrder:
         """One row per chunk of a hot key. At most ``MAX_CHUNKS`` rows, aggregated before the shuffle."""
         return self.hot(df).groupBy(*self.partition).agg(*[agg.alias(name) for name, agg in aggs.items()])
 
+    def spread_start(self, df: DataFrame, start: DataFrame) -> DataFrame:
+        """Values per key, given to each chunk of the key, so that joining them leaves the chunks where they are."""
+        if not self.cut:
+            return as_right(start, self.keys)
+        chunks = as_right(self.summarise(df, _rows=F.count(F.lit(1))).select(*self.partition), self.keys)
+        given = start.join(F.broadcast(chunks), match(start, chunks, self.keys), "left")
+        given = given.select(*start.columns, F.coalesce(CHUNK, F.lit(0)).alias(CHUNK))
+        return as_right(given, self.partition)
+
     def chunk_window(self, exclusive: bool):
         frame = Window.partitionBy(*self.keys).orderBy(CHUNK)
         return frame.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
@@ -285,19 +310,14 @@ def aggregates(df: DataFrame, keys: Sequence[str], **scans: Running) -> DataFram
     return df.groupBy(*keys).agg(*[scan.agg.alias(name) for name, scan in scans.items()])
 
 
-def continued(earlier: DataFrame, later: DataFrame, keys: Sequence[str], **scans: Running) -> DataFrame:
-    """Joins the aggregates of two tables, one continuing the other."""
-    both = earlier.unionByName(later).groupBy(*keys)
-    return both.agg(*[scan.combine(F.col(name)).alias(name) for name, scan in scans.items()])
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     measured: DataFrame | None = None,
+    share: float = 1.0,
     **scans: Running,
 ) -> DataFrame:
     """``df`` with running aggregates per key, one output row per input row."""
-    ordered = KeyedOrder(df, keys, order, measured)
+    ordered = KeyedOrder(df, keys, order, measured, share)
     return ordered.close(ordered.run(ordered.rows, **scans))

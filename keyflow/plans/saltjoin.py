@@ -3,13 +3,15 @@
 ``skew_join`` measures the keys of tables and lays the crowded ones out on a grid.
 
 A key with L left and R right rows gets ``a = L / limit`` left slices and ``b = R / limit`` right
-slices. A left row goes to its slice in each of the ``b`` columns, a right row to its slice in each
-of the ``a`` rows, so every pair meets exactly once and no task sees more than ``limit`` rows of
-either side. Keys below the limit are left alone, and without hot keys this is a plain join.
+slices, and more of both if a task would still meet more than ``pairs`` pairs. A left row goes to its slice in
+each of the ``b`` columns, a right row to its slice in each of the ``a`` rows, so every pair meets
+exactly once and no task sees more than ``limit`` rows of either side. Keys below both limits are left
+alone, and without hot keys this is a plain join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,9 @@ from keyflow.plans.hotsplit import (
     small_copy,
 )
 
+# Pairs that one task may have to look at.
+PAIRS_PER_TASK = 500_000_000
+
 
 def skew_join(
     left: DataFrame,
@@ -60,21 +65,27 @@ def _grid(
     left: DataFrame, right: DataFrame, on: list[str], left_id: Sequence[str], right_id: Sequence[str]
 ) -> DataFrame | None:
     base = rows_per_task(left.sparkSession)
-    step = sample_step(base)
+    pairs = float(left.sparkSession.conf.get("keyflow.pairsPerTask", str(PAIRS_PER_TASK)))
+    # The sample must show keys whose sides have the root of the pair limit each.
+    step = sample_step(min(base, max(1, int(math.sqrt(pairs)))))
     sides = hash_sample(left, step, [*on, *left_id]).select(*on, F.lit(1).alias("l"), F.lit(0).alias("r"))
     sides = sides.unionByName(
         hash_sample(right, step, [*on, *right_id]).select(*on, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     counts = sides.dropna(subset=on).groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    size, biggest = counts.agg(F.sum(F.col("l") + F.col("r")), F.max(F.greatest("l", "r"))).first()
+    met = F.col("l").cast("double") * F.col("r") * float(step) ** 2
+    size, biggest, most = counts.agg(F.sum(F.col("l") + F.col("r")), F.max(F.greatest("l", "r")), F.max(met)).first()
     limit = max(base, -(-(size or 0) * step // MAX_CHUNKS))
-    if not size or biggest * step <= limit:
+    # A key over the pair limit has more than its root in rows of a side, which bounds how many there are.
+    if not size or (biggest * step <= limit and most <= pairs):
         return None
-    hot = counts.filter(F.greatest("l", "r") * step > limit)
-    slices = [
-        F.greatest(F.lit(1), F.ceil(F.col(side) * step / limit)).cast("int").alias(name)
-        for side, name in (("l", "_na"), ("r", "_nb"))
-    ]
+    hot = counts.filter((F.greatest("l", "r") * step > limit) | (met > pairs))
+    by_rows = {side: F.greatest(F.lit(1), F.ceil(F.col(side) * step / limit)) for side in ("l", "r")}
+    more = F.greatest(F.lit(1.0), F.sqrt(met / (by_rows["l"] * by_rows["r"]) / pairs))
+    slices = []
+    for side, name in (("l", "_na"), ("r", "_nb")):
+        rows = F.greatest(F.lit(1), F.col(side) * step)
+        slices.append(F.least(F.ceil(by_rows[side] * more), rows).cast("int").alias(name))
     return as_right(small_copy(hot.select(*on, *slices)), on)
 
 

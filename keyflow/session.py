@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import sys
 import tempfile
 import uuid
@@ -26,13 +29,17 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+    """A fresh folder below the cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session. Only where nothing is configured (a test on
-    one machine) a temporary folder is made and registered instead.
+    Where driver and executors are one machine and nothing is configured, a temporary folder serves,
+    which is removed when the program ends. On a cluster the setting must be there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and the executors of {master} share")
         base = tempfile.mkdtemp(prefix="keyflow-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base}/keyflow-{label}-{uuid.uuid4().hex}"

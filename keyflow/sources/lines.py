@@ -86,11 +86,13 @@ def _complete(schema: T.StructType) -> Column:
 
 
 def parse(lines: DataFrame, schema: T.StructType = READING, separator: str = ",") -> DataFrame:
-    """Lines as records. Extra fields are ignored; a missing field or bad number fails the job."""
-    checked = F.when(_complete(schema), F.col("_record")).otherwise(
-        F.raise_error(F.concat(F.lit("not a record: "), F.coalesce("value", F.lit("null"))))
-    )
-    parsed = _fields(lines, schema, separator).withColumn("_record", checked)
+    """Lines as records. Extra fields are ignored; a missing field or bad number fails the job.
+
+    The check is a condition on the row, so that it is made whatever columns are read afterwards.
+    """
+    fail = F.raise_error(F.concat(F.lit("not a record: "), F.coalesce("value", F.lit("null"))))
+    sound = F.when(_complete(schema), F.lit(True)).otherwise(fail.cast("boolean"))
+    parsed = _fields(lines, schema, separator).filter(sound)
     keep = [name for name in lines.columns if name != "value"]
     return parsed.select(*keep, "_record.*")
 

@@ -1,24 +1,46 @@
 """Streams whose operator continues from what came before the micro-batch.
 
 Spark's own watermark drops late rows without a trace and moves only between micro-batches. Here
-each micro-batch is handled as a table, continuing from what the batch before it stored: one value,
-or one row per key. It is stored last, under its batch number: a batch that failed half-way is repeated from
+each micro-batch is handled as a table, continuing from what the batches before it stored: one value,
+or rows per key. It is stored last, under its batch number: a batch that failed half-way is repeated from
 the same start and replaces what it had written.
+
+A micro-batch is written once and read back, since several outputs are made from it; it is dropped
+with the batch after it. Bound it at the source.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.operators import lateness
+from keyflow.operators import lateness, running
 from keyflow.operators.joins import broadcast_threshold
 from keyflow.plans import hotsplit
-from keyflow.plans.hotsplit import KeyedOrder, Running
+from keyflow.plans.hotsplit import KeyedOrder, Running, as_right, match
 from keyflow.sinks.writers import BatchWriter, batch_folders
 
+# Stored rows per key are those of changed keys; this often they are all written together.
+COMPACT_EVERY = 10
+
+
+def _drop(spark: SparkSession, path: str) -> None:
+    """Removes a folder that no repeated batch can need any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _written(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+    batch_folders(f"{folder}/input")(batch, batch_id)
+    return batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/input/batch={batch_id}")
+
+
+def _finish(spark: SparkSession, folder: str, batch_id: int) -> None:
+    if batch_id > 0:
+        _drop(spark, f"{folder}/input/batch={batch_id - 1}")
+
 
 def carried(
     folder: str,
@@ -36,14 +58,12 @@ def carried(
         before = None
         if batch_id > 0:
             before = spark.read.parquet(f"{folder}/carry/batch={batch_id - 1}").select("carry").scalar()
-        batch.persist()
-        try:
-            for name, part in parts(batch, before).items():
-                batch_folders(f"{folder}/{name}")(part, batch_id)
-            kept = batch.agg(value(batch, before).alias("carry"))
-            batch_folders(f"{folder}/carry")(kept.coalesce(1), batch_id)
-        finally:
-            batch.unpersist()
+        batch = _written(batch, folder, batch_id)
+        for name, part in parts(batch, before).items():
+            batch_folders(f"{folder}/{name}")(part, batch_id)
+        kept = batch.agg(value(batch, before).alias("carry"))
+        batch_folders(f"{folder}/carry")(kept.coalesce(1), batch_id)
+        _finish(spark, folder, batch_id)
 
     return write
 
@@ -101,26 +121,170 @@ def threshold_alerts(folder: str, is_config: Column, value: str, order: Sequence
     return carried(folder, newest, parts)
 
 
-def running_by_key(folder: str, keys: Sequence[str], order: Sequence[str], **scans: Running) -> BatchWriter:
+def _base(batch_id: int) -> int:
+    """The newest batch up to this one that has stored all keys."""
+    return batch_id - batch_id % COMPACT_EVERY
+
+
+def stored(spark: SparkSession, folder: str, keys: Sequence[str], batch_id: int) -> DataFrame | None:
+    """The newest stored row of each key after a batch; nothing before the first."""
+    if batch_id < 0:
+        return None
+    paths = [f"{folder}/state/batch={k}" for k in range(_base(batch_id), batch_id + 1)]
+    rows = spark.read.option("basePath", f"{folder}/state").parquet(*paths)
+    values = [name for name in rows.columns if name not in (*keys, "batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_row"))
+    return newest.select(*keys, "_row.*")
+
+
+def keyed(
+    folder: str,
+    keys: Sequence[str],
+    rows: Callable[[DataFrame, DataFrame | None], DataFrame],
+    state: Callable[[DataFrame], DataFrame],
+    merge: Callable[[dict[str, Column], dict[str, Column]], dict[str, Column]],
+) -> BatchWriter:
+    """Rows made from each micro-batch and what is stored per key, below ``rows``.
+
+    ``rows`` gets the batch and the stored rows. ``state`` sums the batch up, one row per key; ``merge``
+    joins the values stored earlier to those. Only keys of the batch are stored anew; every
+    ``COMPACT_EVERY`` batches all are, and what is older is dropped.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = _written(batch, folder, batch_id)
+        start = stored(spark, folder, keys, batch_id - 1)
+        batch_folders(f"{folder}/rows")(rows(batch, start), batch_id)
+        later = state(batch)
+        if start is not None:
+            later = _merged(start, later, keys, merge, every=batch_id == _base(batch_id))
+        batch_folders(f"{folder}/state")(later, batch_id)
+        _finish(spark, folder, batch_id)
+        if batch_id == _base(batch_id) + 1 and batch_id > COMPACT_EVERY:
+            for old in range(_base(batch_id) - COMPACT_EVERY, _base(batch_id)):
+                _drop(spark, f"{folder}/state/batch={old}")
+
+    return write
+
+
+def _merged(start: DataFrame, later: DataFrame, keys: Sequence[str], merge, every: bool) -> DataFrame:
+    values = [name for name in later.columns if name not in keys]
+    early = as_right(start.withColumnsRenamed({name: f"_start_{name}" for name in values}), keys)
+    joined = later.join(early, match(later, early, keys), "left")
+    both = merge({name: F.col(f"_start_{name}") for name in values}, {name: F.col(name) for name in values})
+    changed = joined.select(*keys, *[both[name].alias(name) for name in values])
+    if not every:
+        return changed
+    new = as_right(later.select(*keys), keys)
+    return changed.unionByName(start.join(new, match(start, new, keys), "left_anti"))
+
+
+def running_by_key(
+    folder: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    finish: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    **scans: Running,
+) -> BatchWriter:
     """Running aggregates over a stream, one output row per record, below ``rows``.
 
-    A key that fills most of a micro-batch is cut into chunks like any table's. The aggregates of
-    all keys are stored anew with each micro-batch, which suits few and large ones; for many small
-    ones use the processors in ``stateful``.
+    ``finish`` may work on these rows before they are written. A key that fills most of a micro-batch is
+    cut into chunks like any table's. The stream's micro-batches must come in the order.
+    """
+
+    def rows(batch: DataFrame, start: DataFrame | None) -> DataFrame:
+        ordered = KeyedOrder(batch, keys, order)
+        return finish(ordered.close(ordered.run(ordered.rows, start, **scans)))
+
+    def state(batch: DataFrame) -> DataFrame:
+        return hotsplit.aggregates(batch, keys, **scans)
+
+    def merge(early: dict[str, Column], late: dict[str, Column]) -> dict[str, Column]:
+        return {name: scan.merge(early[name], late[name]) for name, scan in scans.items()}
+
+    return keyed(folder, keys, rows, state, merge)
+
+
+def top_by_key(folder: str, keys: Sequence[str], order: Sequence[str], value: str = "vc", n: int = 3) -> BatchWriter:
+    """After each record the ``n`` largest levels of its key so far, as the array ``top``, below ``rows``."""
+
+    def rows(batch: DataFrame, start: DataFrame | None) -> DataFrame:
+        return running.top_running(batch, keys, order, value, n, start)
+
+    def state(batch: DataFrame) -> DataFrame:
+        best = running.top_final(batch, keys, order, value, n)
+        return best.groupBy(*keys).agg(F.sort_array(F.collect_list(value), asc=False).alias("top"))
+
+    def merge(early: dict[str, Column], late: dict[str, Column]) -> dict[str, Column]:
+        return {"top": running.largest(n, late["top"], early["top"])}
+
+    return keyed(folder, keys, rows, state, merge)
+
+
+def _watermark(batch: DataFrame, folder: str, time: str, delay: str, batch_id: int) -> Column:
+    """The watermark after a batch, which is stored with it."""
+    spark = batch.sparkSession
+    newest = F.max(time)
+    if batch_id > 0:
+        before = spark.read.parquet(f"{folder}/newest/batch={batch_id - 1}").select("newest").scalar()
+        newest = F.greatest(newest, before)
+    batch_folders(f"{folder}/newest")(batch.agg(newest.alias("newest")).coalesce(1), batch_id)
+    stored = spark.read.parquet(f"{folder}/newest/batch={batch_id}")
+    return stored.select(F.col("newest") - F.expr(f"INTERVAL {delay}")).scalar()
+
+
+def _split(rows: DataFrame, fires: Column, folder: str, batch_id: int) -> DataFrame:
+    """Stores what does not fire yet below ``pending``, and returns the rest."""
+    batch_folders(f"{folder}/pending")(rows.filter(~fires), batch_id)
+    if batch_id > 1:
+        _drop(rows.sparkSession, f"{folder}/pending/batch={batch_id - 2}")
+    return rows.filter(fires)
+
+
+def event_timers(folder: str, keys: Sequence[str], time: str, after: str, delay: str) -> BatchWriter:
+    """Each record sets a timer ``after`` its time. Timers that the watermark reaches come below ``fired``.
+
+    The watermark moves with each micro-batch. Timers that have not fired are carried on; there are as
+    many as records in the span of ``after`` and ``delay``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = _written(batch, folder, batch_id)
+        watermark = _watermark(batch, folder, time, delay, batch_id)
+        due = batch.select(*keys, (F.col(time) + F.expr(f"INTERVAL {after}")).alias("fires_at"))
+        if batch_id > 0:
+            due = due.unionByName(spark.read.schema(due.schema).parquet(f"{folder}/pending/batch={batch_id - 1}"))
+        fired = _split(due.distinct(), F.col("fires_at") <= watermark, folder, batch_id)
+        batch_folders(f"{folder}/fired")(fired, batch_id)
+        _finish(spark, folder, batch_id)
+
+    return write
+
+
+def silence_alarms(folder: str, keys: Sequence[str], time: str, order: Sequence[str], silence: str, delay: str) -> BatchWriter:
+    """Fires, below ``fired``, when a key has been silent for longer than ``silence``.
+
+    A record that ends a silence reports it, and so does the watermark that passes it, whichever is
+    first. Keys that have not been reported are carried on with their last time.
     """
+    limit = F.expr(f"INTERVAL {silence}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        start = spark.read.parquet(f"{folder}/state/batch={batch_id - 1}") if batch_id > 0 else None
-        batch.persist()
-        try:
-            ordered = KeyedOrder(batch, keys, order)
-            batch_folders(f"{folder}/rows")(ordered.close(ordered.run(ordered.rows, start, **scans)), batch_id)
-            state = hotsplit.aggregates(batch, keys, **scans)
-            if start is not None:
-                state = hotsplit.continued(start, state, keys, **scans)
-            batch_folders(f"{folder}/state")(state, batch_id)
-        finally:
-            batch.unpersist()
+        batch = _written(batch, folder, batch_id)
+        watermark = _watermark(batch, folder, time, delay, batch_id)
+        last = batch.groupBy(*keys).agg(F.max(time).alias("last_ts"))
+        waiting = None
+        if batch_id > 0:
+            waiting = spark.read.schema(last.schema).parquet(f"{folder}/pending/batch={batch_id - 1}")
+            last = last.unionByName(waiting).groupBy(*keys).agg(F.max("last_ts").alias("last_ts"))
+        ordered = KeyedOrder(batch, keys, order)
+        seen = ordered.close(ordered.run(ordered.rows, waiting, last_ts=hotsplit.highest(time).before()))
+        broken = seen.filter(F.col(time) > F.col("last_ts") + limit).select(*keys, "last_ts")
+        ended = _split(last, F.col("last_ts") + limit <= watermark, folder, batch_id)
+        batch_folders(f"{folder}/fired")(broken.unionByName(ended).withColumn("fires_at", F.col("last_ts") + limit), batch_id)
+        _finish(spark, folder, batch_id)
 
     return write

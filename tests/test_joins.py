@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyflow.operators import joins, lateness
-from keyflow.plans.saltjoin import skew_join
+from keyflow.plans.saltjoin import _grid, skew_join
 
 
 def test_keyed_connect(spark, layout):
@@ -91,3 +91,21 @@ def test_threshold_follows_config(readings, layout):
     rows = [("r", 1, 15), ("config", 2, 20), ("r", 3, 15), ("r", 4, 25), ("config", 5, 30), ("config", 6, 1), ("r", 7, 2)]
     alerts = joins.broadcast_threshold(readings(*rows), F.col("id") == "config", "vc", ["seq"]).orderBy("seq").collect()
     assert [(row.vc, row.threshold) for row in alerts] == [(15, 10), (25, 20), (2, 1)]
+
+
+def test_a_key_with_too_many_pairs_is_spread(spark):
+    """Few rows on each side, below the row limit, but many pairs."""
+    left = spark.range(60).selectExpr("IF(id < 50, 1, id) AS k", "id AS x")
+    right = spark.range(80).selectExpr("IF(id < 70, 1, id) AS k", "id AS y")
+    want = sorted(map(tuple, left.join(right, "k").select("x", "y").collect()))
+    plain = skew_join(left, right, ["k"], ["x"], ["y"])
+    assert sorted(map(tuple, plain.select("x", "y").collect())) == want
+    spark.conf.set("keyflow.pairsPerTask", "400")
+    try:
+        grid = _grid(left, right, ["k"], ["x"], ["y"])
+        got = sorted(map(tuple, skew_join(left, right, ["k"], ["x"], ["y"]).select("x", "y").collect()))
+    finally:
+        spark.conf.unset("keyflow.pairsPerTask")
+    (hot,) = grid.collect()
+    assert hot["_r_k"] == 1 and 50 / hot["_na"] * 70 / hot["_nb"] <= 400
+    assert got == want

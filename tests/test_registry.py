@@ -40,8 +40,8 @@ def _rows(frame, columns):
     return frame.sort_values(columns).reset_index(drop=True)
 
 
-def _compare(spark, duck, name):
-    got = entry.queries()[name](spark, SF_DIR).toArrow().to_pandas()
+def _compare(spark, duck, name, sf_dir=SF_DIR):
+    got = entry.queries()[name](spark, sf_dir).toArrow().to_pandas()
     want = duck.execute(entry.oracle_sql()[name]).fetchdf()
     columns = sorted(want.columns)
     assert sorted(got.columns) == columns
@@ -68,7 +68,7 @@ def test_matches_sql_with_keys_cut_up(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert all(query.sql for query in catalog.load().values())
 
 
 def test_entry(spark):

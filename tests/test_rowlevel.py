@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from keyflow.session import scratch_dir
 from keyflow.functions.text import format_millis, message
 from keyflow.operators import distribute, joins, split, transforms
 from keyflow.operators.running import word_count, word_count_running
@@ -152,3 +153,32 @@ def test_global_sequence(spark, layout):
     table = spark.range(50).select((49 - F.col("id")).alias("n"))
     rows = distribute.global_sequence(table, ["n"]).collect()
     assert len(rows) == 50 and all(row.position == row.n + 1 for row in rows)
+
+
+def test_a_bad_line_fails_whatever_is_read(spark):
+    table = spark.createDataFrame([("s1,1,1",), ("s1,x,2",)], "value string").withColumn("seq", F.lit(1))
+    for read in (lambda df: df.select("seq").collect(), lambda df: df.count(), lambda df: df.select("vc").collect()):
+        with pytest.raises(Exception, match="not a record"):
+            read(lines.parse(table))
+    assert lines.parse(table.filter("value = 's1,1,1'")).select("seq").count() == 1
+
+
+def test_scratch_folder_must_be_shared():
+    class Conf:
+        def get(self, name, default):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+    Context.master = "local-cluster[2,1,1024]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")

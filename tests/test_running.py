@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from keyflow.functions.accumulator import LevelCounts, Mean, Reduce
+from keyflow.functions.accumulator import Accumulator, LevelCounts, Mean, Reduce
 from keyflow.operators import running, scan
+from keyflow.plans import hotsplit
 from keyflow.schema import ARRIVAL_ORDER
 
 from conftest import seconds
@@ -146,3 +147,90 @@ def test_bucket_counter(spark, layout):
     table = spark.range(20).withColumnRenamed("id", "seq")
     rows = by_seq(running.bucket_counter(table, 3, F.col("seq"), ["seq"]))
     assert [row.cnt for row in rows] == [seq // 3 + 1 for seq in range(20)]
+
+
+def kept(kind):
+    """Defined inside a function, so that it travels to the tasks as it is."""
+
+    class Kept(Accumulator):
+        """Hands out the very list, dict or nested list that it goes on changing."""
+
+        def __init__(self, kind):
+            self.kind = kind
+
+        def create(self):
+            return {} if self.kind == "dict" else []
+
+        def add(self, state, row):
+            level = row[0] or 0
+            if self.kind == "dict":
+                state[level] = state.get(level, 0) + 1
+            else:
+                state.append([level] if self.kind == "nested" else level)
+            return state
+
+        def merge(self, early, late):
+            if self.kind == "dict":
+                for level, n in late.items():
+                    early[level] = early.get(level, 0) + n
+                return early
+            early.extend(late)
+            return early
+
+    return Kept(kind)
+
+
+@pytest.mark.parametrize(
+    "kind, out, want",
+    [
+        ("list", T.ArrayType(T.LongType()), list),
+        ("nested", T.ArrayType(T.ArrayType(T.LongType())), lambda levels: [[level] for level in levels]),
+        ("dict", T.MapType(T.LongType(), T.LongType()), lambda levels: {level: levels.count(level) for level in levels}),
+    ],
+)
+def test_results_do_not_change_with_their_state(crowded, layout, kind, out, want):
+    table, rows = crowded
+    got = scan.keyed_scan(table, KEY, ARRIVAL_ORDER, kept(kind), ["vc"], "out", out)
+    assert [row.out for row in by_seq(got)] == brute(rows, want)
+
+
+@pytest.mark.parametrize("kind", ["string", "binary", "date", "boolean", "timestamp", "decimal(20,3)"])
+def test_ties_by_other_order_columns(spark, layout, kind):
+    """The earliest of equal records stays, whatever the type of the order column."""
+    order = ["a", "ab", "b", "", "aé", "é", "ab0"] if kind in ("string", "binary") else list(range(7))
+    if kind == "boolean":
+        order = [1, 0]
+    draw = random.Random(2)
+    rows = [(k, draw.choice("xy"), value, draw.randrange(3)) for k, value in enumerate(order)]
+    table = spark.createDataFrame(rows, f"seq bigint, id string, o {'string' if kind in ('string', 'binary') else 'int'}, vc int")
+    if kind == "date":
+        table = table.withColumn("o", F.date_from_unix_date("o"))
+    else:
+        table = table.withColumn("o", F.col("o").cast(kind))
+    for name in ("o", ["o", "seq"]):
+        by = [name] if isinstance(name, str) else name
+        best = running.max_by_final(table, KEY, by, "vc").select("id", "best.vc", "best.seq").collect()
+        keys = {row.seq: row.o for row in table.collect()}
+        for row in best:
+            mine = [(k, vc) for k, key, _, vc in rows if key == row.id]
+            top = max(vc for _, vc in mine)
+            first = min((key_of(keys[k]), k) for k, vc in mine if vc == top)
+            assert (row.vc, key_of(keys[row.seq])) == (top, first[0])
+        scanned = running.running_max_by(table, KEY, by, "vc").count()
+        assert scanned == len(rows)
+
+
+def key_of(value):
+    return value.encode() if isinstance(value, str) else bytes(value) if isinstance(value, bytearray) else value
+
+
+def test_sizes_from_a_sample_change_nothing(crowded, spark):
+    table, rows = crowded
+    spark.conf.set("keyflow.rowsPerTask", "20")
+    try:
+        level = table.withColumn("vc", running.level_or_zero())
+        some = level.filter("seq % 3 = 0")
+        got = hotsplit.running(level, KEY, ARRIVAL_ORDER, some, 1 / 3, n=hotsplit.total("vc"))
+        assert [row.n for row in by_seq(got)] == brute(rows, sum)
+    finally:
+        spark.conf.unset("keyflow.rowsPerTask")

@@ -11,7 +11,8 @@ KEY = ["id"]
 
 
 def spans(df, *names):
-    rows = df.orderBy("id", "window_start").collect()
+    rows = df.collect()
+    rows = sorted(rows, key=lambda row: (row.id, row.window_start, *([row.position] if "position" in df.columns else [])))
     return [(seconds(row.window_start), seconds(row.window_end), *[row[name] for name in names]) for row in rows]
 
 
@@ -29,15 +30,31 @@ def test_window_reduce_and_process(readings, layout):
     reduced = windows.window_reduce(table, KEY, "ts", "10 seconds", ARRIVAL_ORDER, "vc")
     assert [(seconds(row.first_ts), row.sum_vc) for row in reduced.orderBy("window_start").collect()] == [(1, 6), (12, 4)]
     rows = windows.window_process(table, KEY, "ts", "10 seconds", ARRIVAL_ORDER, F.col("vc"))
-    assert spans(rows, "page", "cnt", "elements") == [(0, 10, 0, 3, [2, 1, 3]), (10, 20, 0, 1, [4])]
+    assert spans(rows.orderBy("position"), "position", "cnt", "element") == [(0, 10, 1, 3, 2), (0, 10, 2, 3, 1), (0, 10, 3, 3, 3), (10, 20, 1, 1, 4)]
+    assert spans(windows.window_lists(rows, KEY), "cnt", "elements") == [(0, 10, 3, [2, 1, 3]), (10, 20, 1, [4])]
 
 
-def test_large_windows_come_in_pages(readings, layout):
-    table = readings(*[("a", second % 10, second) for second in range(23)])
-    pages = windows.window_process(table, KEY, "ts", "10 seconds", ARRIVAL_ORDER, F.col("vc"), page_rows=5)
-    rows = pages.orderBy("page").collect()
-    assert [(row.page, row.cnt, len(row.elements)) for row in rows] == [(0, 23, 5), (1, 23, 5), (2, 23, 5), (3, 23, 5), (4, 23, 3)]
-    assert [vc for row in rows for vc in row.elements] == sorted(range(23), key=lambda vc: (vc % 10, vc))
+def test_windows_have_one_shape_whatever_their_size(readings):
+    """Far above the ten thousand elements at which windows once came in another shape."""
+    table = readings(*[("a", second % 10, second) for second in range(12_000)])
+    rows = windows.window_process(table, KEY, "ts", "10 seconds", ARRIVAL_ORDER, F.col("vc")).collect()
+    assert len(rows) == 12_000 and {row.cnt for row in rows} == {12_000}
+    in_order = [row.element for row in sorted(rows, key=lambda row: row.position)]
+    assert in_order == sorted(range(12_000), key=lambda vc: (vc % 10, vc))
+
+
+def test_function_over_pages_of_a_window(readings):
+    import pyarrow as pa
+
+    table = readings(*[("a", second % 10, second) for second in range(23)], ("b", 1, 7))
+    rows = windows.window_process(table, KEY, "ts", "10 seconds", ARRIVAL_ORDER, F.col("vc"))
+
+    def total(key, page):
+        return pa.table({"id": [key[0]], "page": [key[3]], "n": [page.num_rows], "s": [sum(page["element"].to_pylist())]})
+
+    got = windows.window_pages(rows, KEY, total, "id string, page long, n long, s long", page_rows=10).collect()
+    assert sorted((r.id, r.page, r.n) for r in got) == [("a", 0, 10), ("a", 1, 10), ("a", 2, 3), ("b", 0, 1)]
+    assert sum(r.s for r in got) == sum(range(23)) + 7
 
 
 def test_session_fixed_gap(readings, layout):
