@@ -85,7 +85,7 @@ def items(benchmark: DataFrame, key: str = "item_id", text: str = "text", width:
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    key: str | None = "doc_id",
+    key: str = "doc_id",
     text: str = "text",
     item_key: str = "item_id",
     item_text: str = "text",
@@ -95,13 +95,13 @@ def leaks(
     blocks: int = 8,
     indexed_at_once: int = INDEXED_AT_ONCE,
 ) -> DataFrame:
-    """Documents and the benchmark items that stand in them.
+    """Texts of documents and the benchmark items that stand in them.
 
-    Returns ``_id``, ``_text`` (the text's key), ``item``, ``first_word`` (start of the best window, in
-    shingles), ``similarity`` and ``distance``, one row per document row and item with a window of the
-    item's size whose shingles have a weighted Jaccard similarity (repetitions counted) of
-    ``similarity`` or more. Null and empty texts match nothing. Repeated rows and null keys get their
-    own results, copies share one search. Two empty tables give no rows; other columns are not looked at.
+    Returns ``_text`` (the text's key), ``item``, ``first_word`` (start of the best window, in shingles),
+    ``similarity`` and ``distance``, one row per distinct text and item with a window of the item's size
+    whose shingles have a weighted Jaccard similarity (repetitions counted) of ``similarity`` or more.
+    Null and empty texts match nothing. Copies share one search, made where the copy with the smallest
+    key is. Two empty tables give no rows; other columns are not looked at.
 
     Windows are those of an item's size that start where one of its shingles says it would. All
     windows and items of a size are compared by fingerprint: within ``radius`` bits at least one of
@@ -125,21 +125,23 @@ def leaks(
 
 
 def _leaks(docs, known, key, text, similarity, width, radius, blocks):
-    own = F.lit(None).cast("long") if key is None else F.col(key)
-    rows = docs.select(own.alias("_id"), F.col(text).alias("_t"), text_key(F.col(text)).alias("_text"))
+    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t"), text_key(F.col(text)).alias("_text"))
     # Where an item could start: its size and start as implied by each of its shingles in a text.
     postings = known.select(F.size("h").alias("m"), F.posexplode("h").alias("at", "h")).distinct()
     seen = rows.select("_text", F.posexplode(shingles(F.col("_t"), width)).alias("pos", "h"))
     starts = seen.join(F.broadcast(postings), "h")
     starts = starts.select("_text", "m", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start"))
     wanted = starts.distinct().groupBy("_text").agg(F.collect_list(F.struct("m", "start")).alias("_windows"))
-
-    hit = rows.join(wanted, "_text").select("_id", "_text", "_windows", shingles(F.col("_t"), width).alias("_h"))
+    # Of copies only the one with the smallest key meets its windows: by text alone all would go to one task.
+    firsts = rows.groupBy("_text").agg(F.min("_id").alias("_first"))
+    wanted = wanted.join(firsts, "_text").withColumnRenamed("_text", "_key")
+    same = (rows["_text"] == wanted["_key"]) & rows["_id"].eqNullSafe(wanted["_first"])
+    hit = rows.join(wanted, same).select("_text", "_windows", shingles(F.col("_t"), width).alias("_h"))
     cut = F.transform(
         "_windows", lambda w: F.struct(w["m"].alias("m"), w["start"].alias("start"), F.slice("_h", w["start"] + 1, w["m"]).alias("h"))
     )
-    windows = hit.select("_id", "_text", F.inline(cut)).where(F.size("h") > 0)
-    windows = windows.select("_id", "_text", "m", "start", "h", fingerprint(F.col("h")).alias("print"))
+    windows = hit.select("_text", F.inline(cut)).where(F.size("h") > 0)
+    windows = windows.select("_text", "m", "start", "h", fingerprint(F.col("h")).alias("print"))
 
     bits = 64 // blocks
     block = _shifted(F.col("print"), F.col("block") * bits).bitwiseAND((1 << bits) - 1)
@@ -166,14 +168,13 @@ def _leaks(docs, known, key, text, similarity, width, radius, blocks):
     near = near.where((distance <= radius) & ~earlier).join(F.broadcast(prints.select("item", "part", "ih")), ["item", "part"])
     both = F.size(F.array_intersect(counted(F.col("h")), counted(F.col("ih"))))
     score = both / (F.size("h") + F.size("ih") - both)
-    checked = near.select("_id", "_text", "item", "start", score.alias("similarity"), distance.alias("distance"))
+    checked = near.select("_text", "item", "start", score.alias("similarity"), distance.alias("distance"))
     best = F.struct("similarity", (-F.col("start")).alias("start"), (-F.col("distance")).alias("distance"))
     return (
         checked.where(F.col("similarity") >= similarity)
-        .groupBy("_id", "_text", "item")
+        .groupBy("_text", "item")
         .agg(F.max(best).alias("b"))
         .select(
-            "_id",
             "_text",
             "item",
             (-F.col("b.start")).cast("long").alias("first_word"),
@@ -184,16 +185,18 @@ def _leaks(docs, known, key, text, similarity, width, radius, blocks):
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """``leaks`` without the text keys: one row per document key and item. Repeated rows with the same text share one."""
+    """``leaks`` of each document: one row per row of ``docs`` and item that stands in it, by the document's key."""
     found = leaks(docs, benchmark, key, text, **settings)
-    return found.select(F.col("_id").alias(key), F.col("item").alias("item_id"), "first_word", "similarity", "distance")
+    rows = docs.select(F.col(key).alias("_id"), text_key(F.col(text)).alias("_key"))
+    joined = rows.join(found, rows["_key"] == found["_text"])
+    return joined.select(F.col("_id").alias(key), F.col("item").alias("item_id"), "first_word", "similarity", "distance")
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", **settings) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item, as they are; null texts stay."""
     plain = [f"_c{i}" for i in range(len(docs.columns))]  # whatever the columns are called, nothing clashes
-    body = plain[docs.columns.index(text)]
+    name, body = plain[docs.columns.index(key)], plain[docs.columns.index(text)]
     rows = docs.toDF(*plain)
-    bad = leaks(rows, benchmark, None, body, **settings).select(F.col("_text").alias("_bad")).distinct()
+    bad = leaks(rows, benchmark, name, body, **settings).select(F.col("_text").alias("_bad")).distinct()
     keyed = rows.withColumn("_text", text_key(F.col(body)))
     return keyed.join(bad, keyed["_text"] == bad["_bad"], "left_anti").select(*plain).toDF(*docs.columns)
