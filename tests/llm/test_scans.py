@@ -143,12 +143,15 @@ def test_leaks_are_found_and_no_others(spark, docs):
     assert {(r["doc_id"], r["item_id"]) for r in parts.collect()} == got
     clean = decontamination.clean(docs(*texts), bench)
     assert sorted(r["doc_id"] for r in clean.collect()) == [2, 4, 7, 8]
+    copies = [(k, texts[0]) for k in (7, 3, None, 3, 5)]
+    found = decontamination.contaminated(docs(*copies, (9, filler)), bench)
+    assert rows(found, "doc_id", "item_id") == [(None, 0), (3, 0), (3, 0), (5, 0), (7, 0)]
 
 
 def test_leaks_in_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, "x y z")], "item_id bigint, text string")
     got = rows(decontamination.contaminated(odd, bench))
-    assert [g[:2] for g in got] == [(4, 1)]
+    assert [g[:2] for g in got] == [(4, 1), (4, 1)]
     clean = decontamination.clean(odd, bench)
     assert clean.columns == odd.columns and clean.count() == odd.count() - 2
     assert decontamination.contaminated(odd.limit(0), bench).count() == 0
