@@ -121,7 +121,7 @@ def answered(asked: DataFrame) -> DataFrame:
         first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         totals = np.add.reduceat(number[order], first)
         answer = np.empty(len(everything), np.uint8)
-        answer[order] = np.repeat(level(totals), np.diff([*first, len(ranked)]))
+        answer[order] = np.repeat(level(totals), np.diff(np.append(first, len(ranked))))
         return pa.table(
             {
                 "block": group["block"],

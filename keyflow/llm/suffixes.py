@@ -161,7 +161,7 @@ class Bucket:
         first = np.flatnonzero(first)
         self.hashes = every[first]
         self.ids = None if owners is None else np.minimum.reduceat(owners, first) if len(first) else owners
-        self.repeated = np.diff([*first, len(every)]) > 1
+        self.repeated = np.diff(np.append(first, len(every))) > 1
 
     @classmethod
     def of_sides(cls, sides: list[np.ndarray], surroundings: list[np.ndarray]) -> Bucket:
@@ -284,7 +284,7 @@ def _said(step: int, asked: list[dict]) -> Iterator[tuple]:
     new = np.ones(len(ranked), bool)
     new[1:] = ranked[1:] != ranked[:-1]
     first = np.flatnonzero(new)
-    many = np.diff([*first, len(ranked)])
+    many = np.diff(np.append(first, len(ranked)))
     said = np.zeros(len(every), np.uint8)
     if step in WITH_IDS:
         ids = np.concatenate([_ids(r["ids"], n) for r, n in zip(asked, sizes)])
