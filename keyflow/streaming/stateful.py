@@ -3,11 +3,13 @@
 Each processor sees the rows of one key in one micro-batch, puts them in order, and keeps its state
 in the state store between micro-batches. Bound the micro-batch at the source
 (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``): a key's rows of one batch are ordered in one task.
+They suit many small keys and custom logic. Batches must come in order (see ``slices``). The functions
+in ``carry`` do the same as table plans, which split a crowded key.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
@@ -17,31 +19,51 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 LONG = T.StructType().add("value", T.LongType())
 SUM_COUNT = T.StructType().add("total", T.LongType()).add("n", T.LongType())
-RECORD = [
-    T.StructField("id", T.LongType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("ts", T.TimestampType()),
-]
-
-
-def _record(**fields: T.DataType) -> T.StructType:
-    return T.StructType([*RECORD, *[T.StructField(name, kind) for name, kind in fields.items()]])
 
 
 def keyed_process(
     df: DataFrame,
-    keys: list[str],
+    keys: Sequence[str],
     processor: StatefulProcessor,
-    output: T.StructType,
+    output: T.StructType | None = None,
     mode: str = "append",
     time_mode: str = "None",
 ) -> DataFrame:
-    """Runs a processor per key. ``time_mode`` is ``None``, ``ProcessingTime`` or ``EventTime``."""
+    """Runs a processor per key. ``time_mode`` is ``None``, ``ProcessingTime`` or ``EventTime``.
+
+    The processors of this module say themselves what comes out of the rows they are given.
+    """
+    output = processor.output(df.schema, keys) if output is None else output
     return df.groupBy(*keys).transformWithState(processor, output, mode, time_mode)
 
 
 class Ordered(StatefulProcessor):
-    """Base of the processors: one output row per record, in ``(ts, seq)`` order."""
+    """Base of the processors: one output row per record, in the order of the columns ``order``.
+
+    ``keep`` names the columns of a record that come out with it (those of key and order unless
+    given), ``value`` the column that is worked on. Keys and columns can be of any type; values are whole
+    numbers, a missing one counting as 0.
+    """
+
+    ADDED: tuple[T.StructField, ...] = ()
+
+    def __init__(self, value: str = "vc", order: Sequence[str] = ("ts", "seq"), keep: Sequence[str] | None = None):
+        self.value, self.order, self.keep = value, tuple(order), keep
+
+    def output(self, schema: T.StructType, keys: Sequence[str]) -> T.StructType:
+        if self.keep is None:
+            self.keep = tuple(dict.fromkeys([*keys, *self.order]))
+        return T.StructType([*[schema[name] for name in self.keep], *self.added(schema)])
+
+    def added(self, schema: T.StructType) -> Sequence[T.StructField]:
+        """The fields that the processor adds to a record."""
+        return self.ADDED
+
+    def out(self, row: Row, **made) -> Row:
+        return Row(**{name: row[name] for name in self.keep}, **made)
+
+    def level(self, row: Row) -> int:
+        return row[self.value] or 0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -61,7 +83,7 @@ class Ordered(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self.before()
-        for row in sorted(rows, key=lambda row: (row["ts"], row["seq"])):
+        for row in sorted(rows, key=lambda row: tuple(row[name] for name in self.order)):
             yield from self.step(row)
         self.after()
 
@@ -69,9 +91,10 @@ class Ordered(StatefulProcessor):
 class JumpAlarm(Ordered):
     """Value state: the previous level, 0 at first. Reports jumps above ``jump``."""
 
-    OUTPUT = _record(curr=T.IntegerType(), last=T.IntegerType())
+    ADDED = (T.StructField("curr", T.LongType()), T.StructField("last", T.LongType()))
 
-    def __init__(self, jump: int = 10):
+    def __init__(self, jump: int = 10, **columns):
+        super().__init__(**columns)
         self.jump = jump
 
     def open(self):
@@ -82,9 +105,9 @@ class JumpAlarm(Ordered):
         self.last = stored[0] if stored is not None else 0
 
     def step(self, row):
-        level = row["vc"] or 0
+        level = self.level(row)
         if abs(level - self.last) > self.jump:
-            yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], curr=level, last=int(self.last))
+            yield self.out(row, curr=level, last=int(self.last))
         self.last = level
 
     def after(self):
@@ -94,9 +117,10 @@ class JumpAlarm(Ordered):
 class TopLevels(Ordered):
     """List state: the ``n`` largest levels, largest first."""
 
-    OUTPUT = _record(top=T.ArrayType(T.IntegerType()))
+    ADDED = (T.StructField("top", T.ArrayType(T.LongType())),)
 
-    def __init__(self, n: int = 3):
+    def __init__(self, n: int = 3, **columns):
+        super().__init__(**columns)
         self.n = n
 
     def open(self):
@@ -106,8 +130,8 @@ class TopLevels(Ordered):
         self.top = [int(entry[0]) for entry in self.state.get()] if self.state.exists() else []
 
     def step(self, row):
-        self.top = sorted([*self.top, row["vc"] or 0], reverse=True)[: self.n]
-        yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], top=list(self.top))
+        self.top = sorted([*self.top, self.level(row)], reverse=True)[: self.n]
+        yield self.out(row, top=list(self.top))
 
     def after(self):
         self.state.put([(level,) for level in self.top])
@@ -116,7 +140,8 @@ class TopLevels(Ordered):
 class LevelCounter(Ordered):
     """Map state: how often each level occurred. Reports the count of the record's own level."""
 
-    OUTPUT = _record(vc=T.IntegerType(), cnt=T.LongType())
+    def added(self, schema):
+        return (T.StructField(self.value, T.LongType()), T.StructField("cnt", T.LongType()))
 
     def open(self):
         self.state = self.handle.getMapState("counts", LONG, LONG)
@@ -125,12 +150,12 @@ class LevelCounter(Ordered):
         self.counts = {}
 
     def step(self, row):
-        level = row["vc"] or 0
+        level = self.level(row)
         if level not in self.counts:
             stored = self.state.getValue((level,))
             self.counts[level] = 0 if stored is None else stored[0]
         self.counts[level] += 1
-        yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], vc=level, cnt=self.counts[level])
+        yield self.out(row, **{self.value: level, "cnt": self.counts[level]})
 
     def after(self):
         for level, count in self.counts.items():
@@ -140,9 +165,10 @@ class LevelCounter(Ordered):
 class RunningReduce(Ordered):
     """Reducing state: folds levels with an associative function, the first taken as it is."""
 
-    OUTPUT = _record(value=T.LongType())
+    ADDED = (T.StructField("value", T.LongType()),)
 
-    def __init__(self, function):
+    def __init__(self, function, **columns):
+        super().__init__(**columns)
         self.function = function
 
     def open(self):
@@ -150,21 +176,21 @@ class RunningReduce(Ordered):
 
     def before(self):
         stored = self.state.get()
-        self.value = None if stored is None else stored[0]
+        self.reduced = None if stored is None else stored[0]
 
     def step(self, row):
-        level = row["vc"] or 0
-        self.value = level if self.value is None else self.function(self.value, level)
-        yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], value=self.value)
+        level = self.level(row)
+        self.reduced = level if self.reduced is None else self.function(self.reduced, level)
+        yield self.out(row, value=self.reduced)
 
     def after(self):
-        self.state.update((self.value,))
+        self.state.update((self.reduced,))
 
 
 class RunningMean(Ordered):
     """Aggregating state: sum and count, reported as the mean."""
 
-    OUTPUT = _record(mean=T.DoubleType())
+    ADDED = (T.StructField("mean", T.DoubleType()),)
 
     def open(self):
         self.state = self.handle.getValueState("sum_count", SUM_COUNT)
@@ -174,8 +200,8 @@ class RunningMean(Ordered):
         self.total, self.n = (0, 0) if stored is None else (stored[0], stored[1])
 
     def step(self, row):
-        self.total, self.n = self.total + (row["vc"] or 0), self.n + 1
-        yield Row(id=row["id"], seq=row["seq"], ts=row["ts"], mean=self.total / self.n)
+        self.total, self.n = self.total + self.level(row), self.n + 1
+        yield self.out(row, mean=self.total / self.n)
 
     def after(self):
         self.state.update((self.total, self.n))
@@ -184,7 +210,7 @@ class RunningMean(Ordered):
 class TaskCounter(Ordered):
     """Operator state: how many records each bucket has counted."""
 
-    OUTPUT = T.StructType().add("bucket", T.LongType()).add("seq", T.LongType()).add("cnt", T.LongType())
+    ADDED = (T.StructField("cnt", T.LongType()),)
 
     def open(self):
         self.state = self.handle.getValueState("count", LONG)
@@ -195,15 +221,12 @@ class TaskCounter(Ordered):
 
     def step(self, row):
         self.n += 1
-        yield Row(bucket=row["bucket"], seq=row["seq"], cnt=self.n)
+        yield self.out(row, cnt=self.n)
 
     def after(self):
         self.state.update((self.n,))
 
 
-TIMER_OUTPUT = T.StructType().add("id", T.LongType()).add("fires_at", T.TimestampType())
-
-
 def _utc(millis: int) -> datetime:
     return datetime.fromtimestamp(millis / 1000, tz=timezone.utc)
 
@@ -214,21 +237,31 @@ def with_millis(df: DataFrame, time: str = "ts") -> DataFrame:
 
 
 class EventTimers(StatefulProcessor):
-    """Each record sets a timer ``after_ms`` past its event time. Reports key and time when it fires."""
+    """Each record sets a timer ``after_ms`` past its event time. Reports key and time when it fires.
+
+    Spark drops records behind its watermark before they come here. ``carry.event_timers`` loses none.
+    """
+
+    def __init__(self, after_ms: int, time: str = "ts_ms"):
+        self.after_ms, self.time, self.names = after_ms, time, ()
+
+    def output(self, schema: T.StructType, keys: Sequence[str]) -> T.StructType:
+        self.names = tuple(keys)
+        return T.StructType([*[schema[name] for name in keys], T.StructField("fires_at", T.TimestampType())])
 
-    def __init__(self, after_ms: int):
-        self.after_ms = after_ms
+    def fired(self, key, millis: int) -> Row:
+        return Row(**dict(zip(self.names, key)), fires_at=_utc(millis))
 
     def init(self, handle):
         self.handle = handle
 
     def handleInputRows(self, key, rows, timerValues):
-        for due in {row["ts_ms"] + self.after_ms for row in rows}:
+        for due in {row[self.time] + self.after_ms for row in rows}:
             self.handle.registerTimer(due)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield Row(id=key[0], fires_at=_utc(expiredTimerInfo.getExpiryTimeInMs()))
+        yield self.fired(key, expiredTimerInfo.getExpiryTimeInMs())
 
 
 class ProcessingTimers(EventTimers):
@@ -253,9 +286,9 @@ class SilenceAlarm(EventTimers):
     def handleInputRows(self, key, rows, timerValues):
         stored = self.state.get()
         armed = due = None if stored is None else stored[0]
-        for time in sorted(row["ts_ms"] for row in rows):
+        for time in sorted(row[self.time] for row in rows):
             if due is not None and time > due:
-                yield Row(id=key[0], fires_at=_utc(due))
+                yield self.fired(key, due)
             due = time + self.after_ms if due is None else max(due, time + self.after_ms)
         if due != armed:
             if armed is not None:

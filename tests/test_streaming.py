@@ -99,7 +99,7 @@ def test_processors_equal_tables(disordered, feed):
     def stream_of(processor, keys=("id",)):
         source = feed.stream(ordered.schema).withColumn("ts", F.col("ts").cast("timestamp"))
         source = source.withColumn("bucket", F.pmod("seq", F.lit(3)))
-        out = stateful.keyed_process(source, list(keys), processor, processor.OUTPUT)
+        out = stateful.keyed_process(source, list(keys), processor)
         out = run_to_folder(out, scratch_dir(feed.spark, "processor"))
         assert batches(out) == 3
         return out
@@ -119,6 +119,24 @@ def test_processors_equal_tables(disordered, feed):
     same(got, running.bucket_counter(ordered, 3, F.col("seq"), ["seq"]).select("seq", "cnt"))
 
 
+def test_processors_take_any_key_and_columns(feed):
+    """The package's own readings: a text key, time in whole seconds, a second key column, another value."""
+    rows = feed.spark.range(60).selectExpr("id AS n", "concat('s', id % 3) AS id", "id * 10 AS ts", "id % 2 AS part", "CAST(id * 7 % 23 AS INT) AS level")
+    feed.drop(rows, 3, "n")
+    columns = {"value": "level", "order": ["ts"], "keep": ["id", "part", "n"]}
+
+    def stream_of(processor):
+        out = stateful.keyed_process(feed.stream(rows.schema), ["id", "part"], processor)
+        return run_to_folder(out, scratch_dir(feed.spark, "columns")).drop("batch")
+
+    keys = ["id", "part"]
+    got = stream_of(stateful.RunningMean(**columns))
+    assert got.columns == ["id", "part", "n", "mean"]
+    same(got.select("n", "mean"), running.running_mean(rows, keys, ["ts"], "level").select("n", "mean"))
+    got = stream_of(stateful.JumpAlarm(5, **columns)).select("n", "curr", "last")
+    same(got, running.jump_alarm(rows, keys, ["ts"], "level", 5).select("n", "curr", "last"))
+
+
 def test_late_split_survives_a_failure(disordered, feed, monkeypatch):
     """A batch that fails between its outputs is repeated, and nothing is lost or doubled."""
     stream = feed.drop(disordered, 5).stream(disordered.schema)
@@ -254,7 +272,7 @@ def test_event_timers_and_silence(spark, feed):
 
     def fired(processor):
         source = stateful.with_millis(feed.stream(rows.schema).withWatermark("ts", "0 seconds"))
-        out = stateful.keyed_process(source, ["id"], processor, stateful.TIMER_OUTPUT, time_mode="EventTime")
+        out = stateful.keyed_process(source, ["id"], processor, time_mode="EventTime")
         out = run_to_folder(out, scratch_dir(spark, "timers"))
         return sorted((row.id, row.s) for row in out.select("id", F.unix_seconds("fires_at").alias("s")).collect())
 
@@ -265,9 +283,7 @@ def test_event_timers_and_silence(spark, feed):
 def test_processing_time_timers(spark, feed):
     rows = spark.createDataFrame([(0, 7)], "seq int, id bigint")
     source = feed.drop(rows).stream(rows.schema)
-    out = stateful.keyed_process(
-        source, ["id"], stateful.ProcessingTimers(200), stateful.TIMER_OUTPUT, time_mode="ProcessingTime"
-    )
+    out = stateful.keyed_process(source, ["id"], stateful.ProcessingTimers(200), time_mode="ProcessingTime")
     writer = out.writeStream.outputMode("append").foreachBatch(writers.batch_folders(f"{feed.folder}/out"))
     running_query = start(writer, f"{feed.folder}/checkpoint", every="200 milliseconds")
     try:
