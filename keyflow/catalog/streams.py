@@ -17,7 +17,7 @@ from keyflow.catalog.several import (
     side,
 )
 from keyflow.catalog.sql import READINGS, WORDS, bucket
-from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, SLIDING_SQL, SUMS
+from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, LATE_PANES_SQL, SLIDING_SQL, SUMS
 from keyflow.operators import joins, running, topn, transforms, windows
 from keyflow.plans import hotsplit
 from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, as_readings, readings, table, text_lines, with_arrival
@@ -320,6 +320,21 @@ def stream_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.union_all(*parts).select("seq", "id", "ts", "window_end", "status")
 
 
+@query(LATE_PANES_SQL)
+def stream_late_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that fire when the watermark passes them, and again with each row allowed later.
+
+    The stream ends here, so the windows still open fire at last.
+    """
+    folder, arrived = scratch_dir(spark, "panes"), ["arrival", "seq"]
+    rows = with_arrival(readings(spark, sf_dir).select("seq", "id", "ts", "vc"))
+    _in_order(rows, arrived, folder, carry.late_panes(folder, ["id"], "ts", "1 hour", "1 hour", "30 minutes", arrived, "vc"))
+    fired = spark.read.parquet(f"{folder}/panes")
+    last = spark.read.parquet(f"{folder}/newest").agg(F.max("batch")).first()[0]
+    ended = carry.unfired_panes(spark, folder, last, ["id"], "vc")
+    return fired.drop("batch").unionByName(ended)
+
+
 def _split_sides(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_dir(spark, "sides")
     write = carry.late_split_of_sides(folder, "ts", "1 hour", ["arrival", "seq"])

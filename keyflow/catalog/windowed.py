@@ -196,8 +196,7 @@ def late_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classified.select("seq", "id", "ts", "window_end", "status")
 
 
-@query(
-    f"""WITH {CLASSIFIED},
+LATE_PANES_SQL = f"""WITH {CLASSIFIED},
     p AS (SELECT id, window_end, status,
                  count(*) OVER w AS cnt, CAST(sum(vc) OVER w AS BIGINT) AS sum_vc,
                  CAST(status = 'allowed' OR lead(status) OVER (PARTITION BY id, window_end ORDER BY arrival, seq)
@@ -208,6 +207,8 @@ def late_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT id, window_end - INTERVAL 1 HOUR AS window_start, window_end,
            row_number() OVER (PARTITION BY id, window_end ORDER BY arrival, seq) AS pane, cnt, sum_vc
     FROM p WHERE emits = 1"""
-)
+
+
+@query(LATE_PANES_SQL)
 def late_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lateness.panes(_arrivals(spark, sf_dir), KEY, "ts", "1 hour", "1 hour", "30 minutes", ARRIVED, "vc")

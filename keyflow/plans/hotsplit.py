@@ -9,7 +9,7 @@ parallel.
 Only the layout depends on the row counts measured here, never the result:
 
 * hot keys are found, and cut points chosen, from a hash sample of the rows;
-* at most ``MAX_CHUNKS`` chunks exist, because the chunk size grows with the data. That bounds the
+* at most ``max_chunks`` chunks exist, a number that follows the cluster: beyond it the chunk size grows with the data. That bounds the
   hot-key list, the cut points and the table of earlier chunks, which are the only things
   broadcast.
 """
@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 4_000_000
 MIN_ROWS_PER_TASK = 1_000
-MAX_CHUNKS = 20_000
+LEAST_MAX_CHUNKS = 20_000
+CHUNKS_PER_CORE = 20
 SAMPLES_PER_CHUNK = 64
 
 CHUNK = "_chunk"
@@ -95,6 +96,11 @@ def _tagged(value: Column | str, order: Sequence[str]) -> Column:
     return F.struct(*order, value.alias("_value"))
 
 
+def max_chunks(spark: SparkSession) -> int:
+    """How many chunks there may be. It follows the cluster, whose driver holds and broadcasts a row for each."""
+    return max(LEAST_MAX_CHUNKS, CHUNKS_PER_CORE * spark.sparkContext.defaultParallelism)
+
+
 def rows_per_task(spark: SparkSession) -> int:
     return int(spark.conf.get("keyflow.rowsPerTask", str(ROWS_PER_TASK)))
 
@@ -160,7 +166,7 @@ class KeyedOrder:
         if not self.keys:
             size = int(measured.count() / self.share)
             spread = max(MIN_ROWS_PER_TASK, -(-size // spark.sparkContext.defaultParallelism))
-            limit = max(min(base, spread), -(-size // MAX_CHUNKS))
+            limit = max(min(base, spread), -(-size // max_chunks(spark)))
             if size <= limit:
                 return df
             self.cut = True
@@ -173,7 +179,7 @@ class KeyedOrder:
         counts = sample.groupBy(*self.keys).agg((F.count("*") * stands_for).alias("n")).persist()
         try:
             size, biggest = counts.agg(F.sum("n"), F.max("n")).first()
-            limit = max(base, math.ceil((size or 0) / MAX_CHUNKS))
+            limit = max(base, math.ceil((size or 0) / max_chunks(spark)))
             if not size or biggest <= limit:
                 return df
             hot = as_right(small_copy(counts.filter(F.col("n") > limit).drop("n")), self.keys)
@@ -273,7 +279,7 @@ class KeyedOrder:
         )
 
     def summarise(self, df: DataFrame, **aggs: Column) -> DataFrame:
-        """One row per chunk of a hot key. At most ``MAX_CHUNKS`` rows, aggregated before the shuffle."""
+        """One row per chunk of a hot key. At most ``max_chunks`` rows, aggregated before the shuffle."""
         return self.hot(df).groupBy(*self.partition).agg(*[agg.alias(name) for name, agg in aggs.items()])
 
     def spread_start(self, df: DataFrame, start: DataFrame) -> DataFrame:

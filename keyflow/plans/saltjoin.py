@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.plans.hotsplit import (
-    MAX_CHUNKS,
     as_right,
     hash_sample,
     match,
+    max_chunks,
     rows_per_task,
     sample_step,
     small_copy,
@@ -75,7 +75,7 @@ def _grid(
     counts = sides.dropna(subset=on).groupBy(*on).agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
     met = F.col("l").cast("double") * F.col("r") * float(step) ** 2
     size, biggest, most = counts.agg(F.sum(F.col("l") + F.col("r")), F.max(F.greatest("l", "r")), F.max(met)).first()
-    limit = max(base, -(-(size or 0) * step // MAX_CHUNKS))
+    limit = max(base, -(-(size or 0) * step // max_chunks(left.sparkSession)))
     # A key over the pair limit has more than its root in rows of a side, which bounds how many there are.
     if not size or (biggest * step <= limit and most <= pairs):
         return None

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from keyflow.operators import lateness, running
 from keyflow.operators.joins import broadcast_threshold
+from keyflow.operators.windows import BOUNDS
 from keyflow.plans import hotsplit
 from keyflow.plans.hotsplit import KeyedOrder, Running, as_right, match
 from keyflow.sinks.writers import BatchWriter, batch_folders
@@ -288,3 +289,92 @@ def silence_alarms(folder: str, keys: Sequence[str], time: str, order: Sequence[
         _finish(spark, folder, batch_id)
 
     return write
+
+
+def late_panes(
+    folder: str,
+    keys: Sequence[str],
+    time: str,
+    size: str,
+    delay: str,
+    allowed: str,
+    order: Sequence[str],
+    value: str,
+) -> BatchWriter:
+    """What each tumbling window emits, below ``panes``, as ``lateness.panes`` gives it for a table.
+
+    A window fires when the watermark passes its end, and again with each row allowed after that, with
+    count and sum of all its rows so far. Windows that may still change are carried on, below ``open``;
+    ``unfired_panes`` gives those that a stream which has ended leaves behind. Micro-batches must come
+    in the order.
+    """
+    window = [*keys, *BOUNDS]
+    total = f"sum_{value}"
+
+    def grouped(rows: DataFrame, kind: str) -> DataFrame:
+        counts = rows.groupBy(*window).agg(F.count("*").alias(f"n_{kind}"), F.sum(value).alias(f"s_{kind}"))
+        return counts.withColumn("fired", F.lit(False))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = None
+        if batch_id > 0:
+            before = spark.read.parquet(f"{folder}/newest/batch={batch_id - 1}").select("newest").scalar()
+        batch = _written(batch, folder, batch_id)
+        watermark = _watermark(batch, folder, time, delay, batch_id)
+        classified = lateness.classify(batch, time, size, delay, allowed, order, before)
+        batch_folders(f"{folder}/classified")(classified, batch_id)
+        rows = spark.read.schema(classified.schema).parquet(f"{folder}/classified/batch={batch_id}")
+        on_time = grouped(rows.filter(F.col("status") == lateness.ON_TIME), "on")
+        extra = rows.filter(F.col("status") == lateness.ALLOWED)
+        known = on_time if batch_id == 0 else on_time.unionByName(_open(spark, folder, batch_id - 1), allowMissingColumns=True)
+        known = _joined_windows(known, window)
+
+        since = F.coalesce("n_late", F.lit(0))
+        start = known.select(
+            *window,
+            (F.when(F.col("n_on") > 0, 1).otherwise(0) + since).cast("long").alias("pane"),
+            (F.coalesce("n_on", F.lit(0)) + since).alias("cnt"),
+            F.coalesce(F.col("s_on") + F.col("s_late"), "s_on", "s_late").alias(total),
+        )
+        ordered = KeyedOrder(extra.withColumn("_n", F.lit(1)), window, order)
+        scans = {"pane": hotsplit.count(), "cnt": hotsplit.total("_n"), total: hotsplit.total(value)}
+        again = ordered.run(ordered.rows, start, **scans).select(*window, *scans)
+        due = (F.col("n_on") > 0) & (F.col("window_end") <= watermark)
+        first = known.filter(~F.col("fired") & due)
+        batch_folders(f"{folder}/panes")(again.unionByName(_first_panes(first, window, total)), batch_id)
+
+        later = known.withColumn("fired", F.col("fired") | F.coalesce(due, F.lit(False)))
+        later = _joined_windows(later.unionByName(grouped(extra, "late"), allowMissingColumns=True), window)
+        may_change = F.coalesce(F.col("window_end") + F.expr(f"INTERVAL {allowed}") > watermark, F.lit(True))
+        batch_folders(f"{folder}/open")(later.filter(may_change), batch_id)
+        _drop(spark, f"{folder}/classified/batch={batch_id}")
+        if batch_id > 1:
+            _drop(spark, f"{folder}/open/batch={batch_id - 2}")
+        _finish(spark, folder, batch_id)
+
+    return write
+
+
+def _open(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(f"{folder}/open/batch={batch_id}")
+
+
+def _joined_windows(rows: DataFrame, window: Sequence[str]) -> DataFrame:
+    """One row per window: counts and sums of rows on time and of those allowed later, and whether it has fired."""
+    sums = [
+        (F.sum(name) if name in rows.columns else F.lit(None).cast("long")).alias(name)
+        for name in ("n_on", "s_on", "n_late", "s_late")
+    ]
+    return rows.groupBy(*window).agg(*sums, F.bool_or("fired").alias("fired"))
+
+
+def _first_panes(rows: DataFrame, window: Sequence[str], total: str) -> DataFrame:
+    one = F.lit(1).cast("long").alias("pane")
+    return rows.select(*window, one, F.col("n_on").alias("cnt"), F.col("s_on").alias(total))
+
+
+def unfired_panes(spark: SparkSession, folder: str, batch_id: int, keys: Sequence[str], value: str) -> DataFrame:
+    """The panes of windows that the watermark had not passed when the stream ended with this batch."""
+    left = _open(spark, folder, batch_id).filter(~F.col("fired") & (F.col("n_on") > 0))
+    return _first_panes(left, [*keys, *BOUNDS], f"sum_{value}")
