@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,11 +19,15 @@ SPACE = " \t\n\r\x0b\x0c"
 SYMBOLS = "#*$%&|<>"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-MEASURED = "_id long, _chars long, _lines long, _upper long, _letters long, _ends long, _distinct long, " + ", ".join(
+MEASURED = "_id long, _chars long, _lines long, _upper long, _letters long, _ends long, _distinct long, _lettered long, " + ", ".join(
     f"{name} long" for name in COUNTS
 )
 
 
+# A word with a letter; all characters beyond ASCII count as letters here.
+_lettered = re.compile(rb"[^\x20\x09-\x0D]*[A-Za-z\x80-\xff][^\x20\x09-\x0D]*")
+
+
 def repeated_words(words: list[bytes]) -> int:
     """Words that stand in a three-word window found twice or more."""
     windows = list(zip(words, words[1:], words[2:]))
@@ -63,6 +69,7 @@ def measure(text: str | None) -> tuple[int, ...]:
         letters,
         ends,
         len(set(words)),
+        len(_lettered.findall(raw)),
         len(words),
         len(text) - spaces,
         sum(text.count(c) for c in SYMBOLS),
@@ -86,15 +93,18 @@ def measured(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes good where ``good`` holds, bad where ``bad`` holds, else abstains."""
+    """Votes bad where ``bad`` holds, good where ``good`` holds if that is given, else abstains."""
 
     name: str
-    good: Column
     bad: Column
+    good: Column | None = None
 
 
 def rules() -> list[Rule]:
-    """The rules on the counts of ``measured``. They look at different properties of a text."""
+    """The rules on the counts of ``measured``. They look at different properties of a text.
+
+    Most know one defect and abstain where it is missing, since that says little for a text.
+    """
 
     def share(part: str, whole: str) -> Column:
         return F.col(part) / F.greatest(F.col(whole), F.lit(1))
@@ -102,67 +112,60 @@ def rules() -> list[Rule]:
     repeats, symbols = share("n_repeat_words", "n_words"), share("n_symbols", "n_words")
     lines, capitals = share("n_dup_lines", "_lines"), share("_upper", "_letters")
     mean, ends = share("word_chars", "n_words"), share("_ends", "n_words")
-    distinct, letters = share("_distinct", "n_words"), share("_letters", "_chars")
+    distinct, letters, lettered = share("_distinct", "n_words"), share("_letters", "_chars"), share("_lettered", "n_words")
+    plain = (repeats <= 0.05) & (symbols <= 0.02) & (lines <= 0.1) & (letters >= 0.75) & (ends >= 0.01)
     return [
-        Rule("repeats", repeats <= 0.15, repeats > 0.35),
-        Rule("symbols", symbols <= 0.02, symbols > 0.1),
-        Rule("lines", lines <= 0.1, lines > 0.3),
-        Rule("capitals", capitals <= 0.15, capitals > 0.3),
-        Rule("word_length", (mean >= 3) & (mean <= 9), (mean < 2.5) | (mean > 12)),
-        Rule("sentences", ends >= 0.01, ends < 0.002),
-        Rule("distinct", distinct >= 0.3, distinct < 0.1),
-        Rule("letters", letters >= 0.7, letters < 0.5),
+        Rule("repeats", repeats > 0.35),
+        Rule("symbols", symbols > 0.1),
+        Rule("lines", lines > 0.5),
+        Rule("capitals", capitals > 0.3),
+        Rule("word_length", (mean < 2.5) | (mean > 12)),
+        Rule("distinct", distinct < 0.1),
+        Rule("sentences", ends < 0.002),
+        Rule("letters", letters < 0.65),
+        Rule("lettered", lettered < 0.8),
+        Rule("plain", F.lit(False), plain),
     ]
 
 
 def votes(chosen: list[Rule]) -> Column:
     """The votes as text, one of ``+``, ``-``, ``0`` per rule."""
-    return F.concat(*[F.when(r.bad, "-").when(r.good, "+").otherwise("0") for r in chosen])
+    never = F.lit(False)
+    return F.concat(*[F.when(r.bad, "-").when(never if r.good is None else r.good, "+").otherwise("0") for r in chosen])
 
 
 @dataclass(frozen=True)
 class Model:
-    """Prior of good, and per rule the probabilities of each vote (+, -, 0) on good and on bad texts."""
+    """The share of good texts, and how often each rule is right when it votes. Abstaining says nothing."""
 
     prior: float
-    good: np.ndarray
-    bad: np.ndarray
+    accuracy: tuple[float, ...]
 
     def posterior(self, pattern: str) -> float:
-        at = ["+-0".index(v) for v in pattern]
-        g = np.log(self.prior) + sum(np.log(self.good[k, v]) for k, v in enumerate(at))
-        b = np.log1p(-self.prior) + sum(np.log(self.bad[k, v]) for k, v in enumerate(at))
-        return float(1 / (1 + np.exp(np.clip(b - g, -700, 700))))
+        odds = math.log(self.prior / (1 - self.prior))
+        for vote, right in zip(pattern, self.accuracy):
+            odds += {"+": 1, "-": -1, "0": 0}[vote] * math.log(right / (1 - right))
+        return 1 / (1 + math.exp(-odds))
 
 
-def fit(patterns: list[tuple[str, int]], n_rules: int, rounds: int = 50, floor: float = 0.55) -> Model:
+def fit(patterns: list[tuple[str, int]], n_rules: int, rounds: int = 50, prior: float = 0.8, accuracy: float = 0.8) -> Model:
     """Expectation-maximisation over the counts of the vote patterns.
 
-    Starts from rules that are right in four of five votes. A rule that votes is never taken to be
-    right in less than ``floor`` of its votes on either kind of text, which keeps the two kinds from
-    changing places, and the prior of good stays between 0.5 and 0.99: a corpus is taken to be mostly
-    good until its rules say otherwise.
+    Rules that vote alike on the same texts are taken to be right more often, those that stand alone
+    less often. ``prior`` is the share of good texts, which agreement alone does not tell: it stays as
+    given. Accuracies start from ``accuracy``, which also counts as ten votes, and stay between 0.55
+    and 0.99, so that good and bad never change places.
     """
-    start = np.array([0.6, 0.15, 0.25])
-    prior, good, bad = 0.8, np.tile(start, (n_rules, 1)), np.tile(start[[1, 0, 2]], (n_rules, 1))
-    model = Model(prior, good, bad)
+    model = Model(prior, (accuracy,) * n_rules)
     if not patterns:
         return model
-    hot = np.array([[["+-0".index(v) == c for c in range(3)] for v in p] for p, _ in patterns], float)
     counts = np.array([n for _, n in patterns], float)
+    cast = np.array([[{"+": 1, "-": -1, "0": 0}[v] for v in p] for p, _ in patterns])
     for _ in range(rounds):
-        q = np.array([model.posterior(p) for p, _ in patterns])
-        # Ten made-up texts of each kind that vote as the start says keep every probability above 0.
-        good = np.einsum("p,prc->rc", counts * q, hot) + 10 * start
-        bad = np.einsum("p,prc->rc", counts * (1 - q), hot) + 10 * start[[1, 0, 2]]
-        for table, right, wrong in ((good, 0, 1), (bad, 1, 0)):
-            table /= table.sum(axis=1, keepdims=True)
-            cast = table[:, 0] + table[:, 1]
-            table[:, right] = np.maximum(table[:, right], floor * cast)
-            table[:, wrong] = cast - table[:, right]
-            np.clip(table, 1e-6, None, out=table)
-        prior = float(np.clip((counts * q).sum() / counts.sum(), 0.5, 0.99))
-        model = Model(prior, good, bad)
+        good = np.array([model.posterior(p) for p, _ in patterns])
+        right = np.where(cast > 0, good[:, None], 1 - good[:, None]) * (cast != 0)
+        estimates = (counts @ right + 10 * accuracy) / (counts @ (cast != 0) + 10)
+        model = Model(prior, tuple(np.clip(estimates, 0.55, 0.99)))
     return model
 
 
