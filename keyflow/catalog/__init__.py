@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from keyflow.session import configure
+from keyflow.session import configured
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,8 @@ def query(sql: str | None = None):
 
     def register(function: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(configure(spark), sf_dir)
+            with configured(spark):
+                return function(spark, sf_dir)
 
         REGISTRY[function.__name__] = Query(run, sql)
         return function

@@ -8,6 +8,8 @@ import shutil
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
@@ -19,15 +21,36 @@ cloudpickle.register_pickle_by_value(sys.modules["keyflow"])
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+# What results depend on: the time zone, and a state store that spills to disk.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+}
+
+
 def configure(spark: SparkSession) -> SparkSession:
-    """Pin what results depend on: the time zone, and a state store that spills to disk."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    """Sets a session up for the package, for good."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
     return spark
 
 
+@contextmanager
+def configured(spark: SparkSession) -> Iterator[SparkSession]:
+    """The same for the time in which tables are put together or streams run; then the caller's settings are back.
+
+    Expressions keep the time zone that was set when they were made.
+    """
+    before = {name: spark.conf.get(name, None) for name in SETTINGS}
+    try:
+        yield configure(spark)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 

@@ -73,3 +73,14 @@ def test_every_query_has_sql():
 
 def test_entry(spark):
     assert set(entry.entry(spark).columns) == {"word", "cnt"}
+
+
+def test_queries_leave_the_session_as_it_was(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        rows = entry.queries()["lines_of_text"](spark, SF_DIR)
+        assert spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+        text = {(r.id, r.at) for r in rows.select("id", "at").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert text == {(r.id, r.at) for r in entry.queries()["lines_of_text"](spark, SF_DIR).select("id", "at").collect()}
