@@ -32,6 +32,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Rows of a few numbers each that may be broadcast.
+BROADCAST_ROWS = 500_000
+
+
+def sent(df: DataFrame, label: str) -> DataFrame:
+    """A narrow table for the right side of a join: written, counted, and broadcast if it is small enough."""
+    kept = written(df, label)
+    return F.broadcast(kept) if kept.count() <= BROADCAST_ROWS else kept
+
+
 def numbered(df: DataFrame, name: str = ROW) -> DataFrame:
     """Adds a number that tells rows apart, repeated rows too. Write the result before it is read twice."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -9,7 +9,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import ascii_lower
+from keyflow.llm.common import ascii_lower, sent
 from keyflow.llm.licenses import WORD
 
 WIDTH = 5  # words of a shingle
@@ -197,6 +197,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
     plain = [f"_c{i}" for i in range(len(docs.columns))]  # whatever the columns are called, nothing clashes
     name, body = plain[docs.columns.index(key)], plain[docs.columns.index(text)]
     rows = docs.toDF(*plain)
-    bad = leaks(rows, benchmark, name, body, **settings).select(F.col("_text").alias("_bad")).distinct()
+    found = leaks(rows, benchmark, name, body, **settings)
+    bad = sent(found.select(F.col("_text").alias("_bad")).distinct(), "leaks")
     keyed = rows.withColumn("_text", text_key(F.col(body)))
     return keyed.join(bad, keyed["_text"] == bad["_bad"], "left_anti").select(*plain).toDF(*docs.columns)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.llm.blocks import Blocks, answered, asked, blocks, in_order, understood
-from keyflow.llm.common import ROW, numbered, written
+from keyflow.llm.common import ROW, numbered, sent, written
 from keyflow.llm.graph import components
 from keyflow.llm.shingles import distinct_shingles, mix
 
@@ -188,6 +188,6 @@ def one_of_each(df: DataFrame, text: str = "text", width: int = 5, percent: int
     plain = [f"_c{i}" for i in range(len(df.columns))]  # whatever the columns are called, nothing clashes
     rows = written(numbered(df.toDF(*plain)), "neardup")
     found = join(rows, ROW, plain[df.columns.index(text)], width, percent)
-    gone = found.where(F.col(ROW) != F.col("component_id")).select(F.col(ROW).alias("_gone"))
+    gone = sent(found.where(F.col(ROW) != F.col("component_id")).select(F.col(ROW).alias("_gone")), "gone")
     return rows.join(gone, rows[ROW] == gone["_gone"], "left_anti").select(*plain).toDF(*df.columns)
 
