@@ -53,8 +53,8 @@ def _compare(spark, duck, name, sf_dir=SF_DIR):
         assert str(got[column].dtype) == str(want[column].dtype), column
 
 
-@pytest.mark.parametrize("name", catalog.load())
-def test_matches_sql(spark, duck, name):
+@pytest.mark.parametrize("name", [name for name in catalog.load() if not name.startswith("stream_")])
+def test_matches_sql(spark, duck, name):  # those over streams: test_slices.py
     _compare(spark, duck, name)
 
 
