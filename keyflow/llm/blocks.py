@@ -27,8 +27,6 @@ STEADY_BYTES = 100e9
 CELL = "part int, block long, hashes binary, counts binary"
 ANSWER = "block long, part int, answer binary"
 
-ROWS = ("block", "uid", "id", "text")
-
 
 @dataclass(frozen=True)
 class Blocks:
