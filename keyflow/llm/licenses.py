@@ -101,8 +101,9 @@ def places(phrase: str) -> Column:
 def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int, least: int) -> DataFrame:
     """Templates whose rare words stand in a document at their relative positions, with the share that does.
 
-    A document's ``rare`` indexed words of highest inverse document frequency are looked up among the
-    positions of the templates. Those that imply the same start of the same template support it.
+    Each template's ``rare`` words of highest inverse document frequency are looked up wherever they stand
+    in a document, and the document's own ``rare`` ones among all words of the templates, for notices that
+    were changed. Those that imply the same start of the same template support it.
     """
     counts = found.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["word"]))).alias("word"))
     idf = {  # at most one entry per indexed word
@@ -117,8 +118,15 @@ def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int,
     if not known:
         return found.select(ROW, F.lit("").alias("label"), F.lit(0.0).alias("share")).where("false")
     weights = F.create_map(*[F.lit(x) for pair in sorted(idf.items()) for x in pair])
+    own = {label: {word for other, _, word in known if other == label} for label in templates}
+    rarest = {label: sorted(words, key=lambda w: (-idf[w], w))[:rare] for label, words in own.items()}
     postings = F.array(
-        *[F.struct(F.lit(label).alias("label"), F.lit(at).alias("at"), F.lit(word).alias("word")) for label, at, word in known]
+        *[
+            F.struct(
+                F.lit(label).alias("label"), F.lit(at).alias("at"), F.lit(word).alias("word"), F.lit(word in rarest[label]).alias("rare")
+            )
+            for label, at, word in known
+        ]
     )
     distinct = F.array_distinct(F.transform("hits", lambda h: h["word"]))
     ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.element_at(weights, w)).alias("idf"), w.alias("word"))))
@@ -126,11 +134,10 @@ def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int,
     rows = found.where(F.size("hits") > 0).select(ROW, "hits", best.alias("_best"))
 
     def implied(hit: Column) -> Column:
-        same = F.filter(postings, lambda p: p["word"] == hit["word"])
+        same = F.filter(postings, lambda p: (p["word"] == hit["word"]) & (p["rare"] | F.array_contains("_best", hit["word"])))
         return F.transform(same, lambda p: F.struct(p["label"].alias("label"), (hit["at"] - p["at"]).alias("start"), p["at"]))
 
-    chosen = F.filter("hits", lambda h: F.array_contains("_best", h["word"]))
-    starts = rows.select(ROW, F.explode(F.flatten(F.transform(chosen, implied))).alias("v"))
+    starts = rows.select(ROW, F.explode(F.flatten(F.transform("hits", implied))).alias("v"))
     sizes = {label: len({at for other, at, _ in known if other == label}) for label in templates}
     lengths = F.create_map(*[x for label, n in sizes.items() for x in (F.lit(label), F.lit(min(max(n, 1), rare)))])
     support = starts.groupBy(ROW, "v.label", "v.start").agg(F.count("*").alias("n")).where(F.col("n") >= least)
@@ -149,9 +156,10 @@ def scan(
 ) -> DataFrame:
     """Per document: words, places of base phrases, their labels, all labels, and a score.
 
-    A template's label is added if at least ``least`` of the document's ``rare`` rarest licence words
-    agree on where it starts, and all its key phrases stand in the document. ``score`` is 1 where a
-    base phrase stands, else the largest share of rare words of an added template that agree, else 0.
+    A template's label is added if at least ``least`` of its ``rare`` rarest words, or of the document's,
+    agree on where it starts, and all its key phrases stand in the document. However many notices and
+    other licence words a document holds, each template is looked for in all of it. ``score`` is 1 where
+    a base phrase stands, else the largest share of rare words of an added template that agree, else 0.
 
     A null text is an empty one. Repeated rows and null keys get a row each. An empty table gives no
     rows; other columns are not looked at. Phrases that overlap count each.

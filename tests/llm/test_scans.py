@@ -109,6 +109,20 @@ def test_licence_phrases_and_templates(spark, docs):
     assert "Python" not in nodes and "Arrow" not in nodes
 
 
+def test_notices_do_not_hide_each_other(spark, docs):
+    notices = {label: body for label, (body, _) in licenses.TEMPLATES.items()}
+    groups = [("apache", "bsd", "mpl"), ("mit", "bsd", "isc", "mpl"), tuple(notices), tuple(reversed(notices))]
+    filler = " ".join(f"f{i}" for i in range(500))
+    texts = [f" {filler} ".join(notices[label] for label in group) for group in groups]
+    words = "mozilla creative attribution domain unencumbered compliance redistribution international conditions"
+    texts += [f"{words} {body} {filler} {words}" for body in notices.values()]
+    found = {r["doc_id"]: r for r in licenses.scan(docs(*texts, *["free software without conditions"] * 20)).collect()}
+    for i, group in enumerate([*groups, *((label,) for label in notices)]):
+        assert set(found[i]["labels"].split(",")) == set(group)
+        assert found[i]["score"] == 1
+    assert all(found[i]["labels"] == "" for i in range(len(texts), len(texts) + 20))
+
+
 def test_licences_in_odd_rows(spark, odd):
     got = rows(licenses.scan(odd), "doc_id", "n_words", "labels")
     assert len(got) == odd.count() and (5, 30_000, "") in got
