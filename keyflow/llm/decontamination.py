@@ -16,6 +16,7 @@ WIDTH = 5  # words of a shingle
 LANES = 16  # counters of 16 bits, four to a long
 LANE_ONES = 0x0001_0001_0001_0001
 LONGEST_ITEM = 16_000  # shingles; longer items are checked in parts of this size
+SLACK = 1e-6  # against rounding, where numbers of shingles are compared with the similarity
 INDEXED_AT_ONCE = 500_000  # rows of the benchmark's indexes that are broadcast at a time
 
 
@@ -82,6 +83,29 @@ def items(benchmark: DataFrame, key: str = "item_id", text: str = "text", width:
     return parts.select("item", "part", F.slice("_h", F.col("part") + 1, LONGEST_ITEM).alias("h")).distinct()
 
 
+def _starts(at: Column, m: Column, n: Column, similarity: float) -> Column:
+    """Starts of the windows of ``m`` of a text's ``n`` shingles in which enough of the places ``at`` (sorted) lie.
+
+    Of a full window, 2 s / (1 + s) of its shingles must be among the item's. At the end of the text, where
+    windows are shorter, s of the item's size is asked for, which none of the similarity has less of.
+    """
+    none = F.array().cast("array<int>")
+    full = F.ceil(2 * similarity / (1 + similarity) * m - SLACK).cast("int")
+    least = F.ceil(similarity * m - SLACK).cast("int")
+    size = F.size(at)
+
+    def ending(i: Column) -> Column:
+        """Starts of full windows whose first place is the i-th, and that hold enough from there on."""
+        first = F.greatest(F.get(at, i + full - 1) - m + 1, F.coalesce(F.get(at, i - 1) + 1, F.lit(0)), F.lit(0))
+        last = F.least(F.get(at, i), n - m)
+        return F.when(first <= last, F.sequence(first, last)).otherwise(none)
+
+    whole = F.when(size >= full, F.flatten(F.transform(F.sequence(F.lit(0), size - full), ending))).otherwise(none)
+    first, last = F.greatest(n - m + 1, F.lit(0)), F.get(at, size - least)
+    cut = F.when((size >= least) & (first <= last), F.sequence(first, last)).otherwise(none)
+    return F.concat(whole, cut)
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -103,8 +127,9 @@ def leaks(
     Null and empty texts match nothing. Copies share one search, made where the copy with the smallest
     key is. Two empty tables give no rows; other columns are not looked at.
 
-    Windows are those of an item's size that start where one of its shingles says it would. All
-    windows and items of a size are compared by fingerprint: within ``radius`` bits at least one of
+    Windows are all of an item's size, wherever they start, and shorter ones at the end of a text, that hold
+    so many shingles of the items of that size that the similarity can be reached, in whatever order these
+    stand. All such windows and items of a size are compared by fingerprint: within ``radius`` bits at least one of
     ``blocks`` equal blocks differs by ``radius // blocks`` bits or fewer, so an index of the items'
     blocks with that many bits flipped misses none of them. What it finds is verified exactly.
 
@@ -126,22 +151,24 @@ def leaks(
 
 def _leaks(docs, known, key, text, similarity, width, radius, blocks):
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_t"), text_key(F.col(text)).alias("_text"))
-    # Where an item could start: its size and start as implied by each of its shingles in a text.
-    postings = known.select(F.size("h").alias("m"), F.posexplode("h").alias("at", "h")).distinct()
+    # Where shingles of the items of a size stand in a text.
+    postings = known.select(F.size("h").alias("m"), F.explode("h").alias("h")).distinct()
     seen = rows.select("_text", F.posexplode(shingles(F.col("_t"), width)).alias("pos", "h"))
-    starts = seen.join(F.broadcast(postings), "h")
-    starts = starts.select("_text", "m", F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start"))
-    wanted = starts.distinct().groupBy("_text").agg(F.collect_list(F.struct("m", "start")).alias("_windows"))
+    places = seen.join(F.broadcast(postings), "h").select("_text", "m", "pos").distinct()
+    sizes = places.groupBy("_text", "m").agg(F.array_sort(F.collect_list("pos")).alias("at"))
+    # A window of the least similarity has at least this share of the item's shingles.
+    enough = sizes.where(F.size("at") >= F.ceil(similarity * F.col("m") - SLACK))
+    wanted = enough.groupBy("_text").agg(F.collect_list(F.struct("m", "at")).alias("_sizes"))
     # Of copies only the one with the smallest key meets its windows: by text alone all would go to one task.
     firsts = rows.groupBy("_text").agg(F.min("_id").alias("_first"))
     wanted = wanted.join(firsts, "_text").withColumnRenamed("_text", "_key")
     same = (rows["_text"] == wanted["_key"]) & rows["_id"].eqNullSafe(wanted["_first"])
-    hit = rows.join(wanted, same).select("_text", "_windows", shingles(F.col("_t"), width).alias("_h"))
-    cut = F.transform(
-        "_windows", lambda w: F.struct(w["m"].alias("m"), w["start"].alias("start"), F.slice("_h", w["start"] + 1, w["m"]).alias("h"))
-    )
-    windows = hit.select("_text", F.inline(cut)).where(F.size("h") > 0)
-    windows = windows.select("_text", "m", "start", "h", fingerprint(F.col("h")).alias("print"))
+    hit = rows.join(wanted, same).select("_text", "_sizes", shingles(F.col("_t"), width).alias("_h"))
+    starts = F.transform("_sizes", lambda z: _starts(z["at"], z["m"], F.size("_h"), similarity).alias("start"))
+    hit = hit.select("_text", "_h", F.arrays_zip(F.col("_sizes.m").alias("m"), starts.alias("starts")).alias("_windows"))
+    hit = hit.select("_text", "_h", F.inline("_windows")).select("_text", "_h", "m", F.explode("starts").alias("start"))
+    windows = hit.select("_text", "m", "start", F.slice("_h", F.col("start") + 1, F.col("m")).alias("h"))
+    windows = windows.select("*", fingerprint(F.col("h")).alias("print"))
 
     bits = 64 // blocks
     block = _shifted(F.col("print"), F.col("block") * bits).bitwiseAND((1 << bits) - 1)

@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -162,6 +164,51 @@ def test_leaks_are_found_and_no_others(spark, docs):
     assert rows(found, "doc_id", "item_id") == [(None, 0), (3, 0), (3, 0), (5, 0), (7, 0)]
 
 
+def best_windows(texts, items, least=0.8):
+    """Every window of every item's size, judged one by one."""
+
+    def shingles(text):
+        words = normalised(text)
+        return [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+
+    out = {}
+    for i, text in enumerate(texts):
+        mine = shingles(text)
+        for k, item in enumerate(map(shingles, items)):
+            own = Counter(item)
+            for start in range(len(mine)):
+                window = Counter(mine[start : start + len(item)])
+                both = (own & window).total()
+                score = both / (len(item) + window.total() - both)
+                if score >= least - 1e-9 and score > out.get((i, k), (0, 0))[1]:
+                    out[i, k] = start, score
+    return sorted((i, k, start, pytest.approx(score)) for (i, k), (start, score) in out.items())
+
+
+def test_leaks_in_another_order_match_all_windows(spark, docs):
+    pick = random.Random(4)
+    items = [" ".join(f"i{k}w{j}" for j in range(n)) for k, n in enumerate((60, 60, 61, 90, 30))]
+    items.append(" ".join(f"r{j % 23}" for j in range(70)))  # repeats itself
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    filler = " ".join(f"f{j}" for j in range(150))
+    texts = []
+    for cut in (10, 20, 30, 50):
+        for item in items:
+            words = item.split()
+            swapped = " ".join(words[cut:] + words[:cut])
+            texts += [f"{filler} {swapped} {filler}", swapped, f"{swapped} {filler}", f"{filler} {swapped}"]
+    for _ in range(40):
+        words = pick.choice(items).split()
+        for _ in range(pick.randrange(4)):
+            at = pick.randrange(len(words))
+            words = pick.choice([words[at:] + words[:at], words[:at] + ["new"] + words[at:], words[:at] + words[at + 1 :]])
+        texts.append(" ".join([*filler.split()[: pick.randrange(20)], *words, *filler.split()[: pick.randrange(20)]]))
+    want = best_windows(texts, items)
+    out = decontamination.contaminated(docs(*texts), bench)
+    assert rows(out, "doc_id", "item_id", "first_word", "similarity") == want
+    assert {0, 4 * len(items), 8 * len(items)} <= {w[0] for w in want}
+
+
 def test_leaks_in_odd_rows(spark, odd):
     bench = spark.createDataFrame([(1, "x y z")], "item_id bigint, text string")
     got = rows(decontamination.contaminated(odd, bench))
