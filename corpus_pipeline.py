@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from keyflow.llm import decontamination, language, neardup, packing, secrets
 from keyflow.llm.common import table, written
-from keyflow.llm.vocabularies import pieces, tokenizer
+from keyflow.llm.vocabularies import added, pieces, tokenizer
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,7 +30,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences of at most 1024 tokens."""
-    return packing.pack(docs, *tokenizer())
+    return packing.pack(docs, *tokenizer(), added=added())
 
 
 STAGES = [

@@ -5,9 +5,11 @@ from __future__ import annotations
 import base64
 import bisect
 import heapq
+import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +47,29 @@ class Limits:
             raise ValueError(self.score)
 
 
-def encoder(path: str, pattern: str):
-    """Encodes texts to ids by the vocabulary at ``path``, a file of base64 pieces with their ids."""
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizers file and their ids. Only those found as they are written are supported."""
+    with open(path, encoding="utf-8") as file:
+        listed = json.load(file)["added_tokens"]
+    for token in listed:
+        if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"an added token that is not matched literally: {token['content']!r}")
+        if any(token is not other and token["content"] in other["content"] for other in listed):
+            raise ValueError(f"an added token inside another: {token['content']!r}")
+    return {token["content"]: token["id"] for token in listed}
+
+
+def encoder(path: str, pattern: str, added: Mapping[str, int] = {}):
+    """Encodes texts to ids by the vocabulary at ``path``, a file of base64 pieces with their ids.
+
+    Where a token of ``added`` stands in a text it becomes its id; without any, all is plain text.
+    """
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
-    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return own.encode_to_numpy if hasattr(own, "encode_to_numpy") else own.encode_ordinary
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
+    return partial(getattr(own, "encode_to_numpy", own.encode), allowed_special="all")
 
 
 def cut(length: int, most: int) -> list[tuple[int, int]]:
@@ -63,12 +80,19 @@ def cut(length: int, most: int) -> list[tuple[int, int]]:
 
 
 def pieces(
-    df: DataFrame, path: str, pattern: str, end: int = 2, tokens: int = 1024, key: str = "doc_id", text: str = "text"
+    df: DataFrame,
+    path: str,
+    pattern: str,
+    end: int = 2,
+    tokens: int = 1024,
+    key: str = "doc_id",
+    text: str = "text",
+    added: Mapping[str, int] = {},
 ) -> DataFrame:
     """The pieces of all documents with the checksum of their ids. A null text is an empty one: its end id alone."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, pattern)
+        encode = encoder(path, pattern, added)
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         names = ["_id", "_row", "piece", "start", "length", "ids_crc32"]
         for batch in batches:
@@ -170,6 +194,7 @@ def pack(
     pieces_per_block: int = PIECES_PER_BLOCK,
     key: str = "doc_id",
     text: str = "text",
+    added: Mapping[str, int] = {},
 ) -> DataFrame:
     """Cuts documents into pieces and puts those into sequences.
 
@@ -177,13 +202,14 @@ def pack(
     ``ids_crc32`` (of the ids as little-endian 32-bit numbers), ``sequence_id`` and ``offset`` (place in
     the sequence, without gaps from 0). Only documents of more than ``limits.tokens`` ids are cut; then
     all pieces but the first have that length. A null text is an empty one. Repeated rows and rows with
-    null keys are packed like any other. An empty table gives no rows; other columns are not looked at.
+    null keys are packed like any other. ``added`` are tokens that texts may hold literally, with their ids
+    (see ``added_tokens``). An empty table gives no rows; other columns are not looked at.
 
     Texts are encoded where they are read. The pieces without their texts are written once, dealt out
     evenly into blocks of about ``pieces_per_block``, and each block is packed in a task of its own.
     Numbers of sequences are unique over the table; they have gaps between blocks.
     """
-    made = written(pieces(df, path, pattern, end, limits.tokens, key, text), "pieces")
+    made = written(pieces(df, path, pattern, end, limits.tokens, key, text, added), "pieces")
 
     def fill(block_key, block):
         block = block.take(pa.array(np.lexsort((block["piece"].to_numpy(), block["_row"].to_numpy()))))

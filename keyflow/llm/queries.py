@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from keyflow.llm import decontamination, language, licenses, neardup, packing, quality, secrets, sharding, suffixes, urls
 from keyflow.llm.common import table
-from keyflow.llm.vocabularies import pieces, tokenizer
+from keyflow.llm.vocabularies import added, pieces, tokenizer
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,7 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer())
+    return packing.pack(table(spark, sf_dir, "documents"), *tokenizer(), added=added())
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -120,6 +120,23 @@ def test_packed_documents_round_trip(spark, docs):
     assert len(sequences) <= total // 1024 + 4
 
 
+def test_queries_encode_added_tokens_as_the_file_does(spark, docs, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from keyflow.llm import queries
+    from tokenizers import Tokenizer
+
+    reader = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # at its defaults
+    texts = ["a <|endoftext|> b", "<|endoftext|><|endoftext|>  x", "x  \n<|endoftext|>\n\n y <|endoftext|", "<|ENDOFTEXT|>", "plain"]
+    table = docs(*texts)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    for out in (queries.op2_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, table, "")):
+        got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in out.collect()}
+        for i, text in enumerate(texts):
+            ids = [*reader.encode(text, add_special_tokens=False).ids, 2]
+            assert got[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
 def test_packing_odd_rows(spark, odd):
     got = rows(packing.pack(odd, *tokenizer()), "doc_id", "piece", "length")
     assert (1, 0, 1) in got and (2, 0, 1) in got
