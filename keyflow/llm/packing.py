@@ -35,7 +35,7 @@ class Limits:
     """
 
     tokens: int = 1024
-    pieces: int = 512
+    pieces: int = 1024  # as many as there are tokens, so that no sequence is lost to it
     attention: int = 1024 * 1024
     score: str = "norm"
     weights: tuple[float, float, float] = (1.0, 0.01, 0.01)

@@ -84,6 +84,11 @@ def test_every_capacity_holds(lengths, score, most):
     assert len(half) <= 1
 
 
+def test_empty_documents_fill_sequences():
+    _, _, n = packing.best_fit(np.array([1000] * 3 + [1] * 5000, np.int64), packing.Limits())
+    assert n == -(-8000 // 1024)
+
+
 def test_packed_documents_round_trip(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
