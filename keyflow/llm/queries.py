@@ -6,8 +6,24 @@ from collections.abc import Callable
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
-
-from keyflow.llm import decontamination, language, licenses, neardup, packing, quality, secrets, sharding, suffixes, urls
+from pyspark.sql import functions as F
+
+from keyflow.llm import (
+    decontamination,
+    language,
+    licenses,
+    neardup,
+    negatives,
+    neighbours,
+    packing,
+    quality,
+    resampling,
+    secrets,
+    sharding,
+    sql,
+    suffixes,
+    urls,
+)
 from keyflow.llm.common import table
 from keyflow.llm.vocabularies import added, pieces, tokenizer
 
@@ -56,6 +72,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(documents, language.train(documents, pieces()))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.mine(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, label=moved)
+
+
 RUNS: tuple[Run, ...] = (
     op1_sharding,
     op2_packing,
@@ -67,6 +97,9 @@ RUNS: tuple[Run, ...] = (
     op8_urls,
     op9_neardup,
     op10_language,
+    op11_resampling,
+    op12_neighbours,
+    op13_negatives,
 )
 
 
@@ -75,5 +108,6 @@ def queries() -> dict[str, Run]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """None of these can be expressed in DuckDB's SQL: see tests/llm for what they are compared with."""
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    """The others cannot be expressed in DuckDB's SQL: see tests/llm for what they are compared with."""
+    own = {"op11_resampling": sql.RESAMPLING, "op13_negatives": sql.NEGATIVES}
+    return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
