@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +26,14 @@ LONGEST_CACHED = 64
 Spans = list[tuple[str, tuple[int, int]]]
 
 
+# Capitals to small letters, and white space to blanks, byte by byte: neither changes where words are.
+_PLAIN = bytes.maketrans(UPPER.encode() + b"\t\n\v\f\r", LOWER.encode() + b" " * 5)
+
+
 class Words:
     """Words of texts, with their places, by an untrained split of the lower-cased text.
 
-    A blank is never part of a word, so the split is made for each stretch between blanks, and kept for the
+    White space is never part of a word, so the split is made for each stretch between blanks, and kept for the
     stretches that come again.
     """
 
@@ -37,32 +41,36 @@ class Words:
         from tokenizers import Regex, pre_tokenizers
 
         self._split = pre_tokenizers.Split(Regex(WORD), "removed", invert=True)
-        self._lower = str.maketrans(UPPER, LOWER)
         self._known: dict[str, Spans] = {}
 
-    def lowered(self, text: str) -> str:
-        return text.translate(self._lower)
+    def stretches(self, text: str) -> list[str]:
+        return text.encode().translate(_PLAIN).decode().split(" ")
 
-    def stretch(self, part: str) -> Spans:
-        """The words of a lower-cased stretch without blanks, and where each starts and ends in it."""
-        if len(part) > LONGEST_CACHED:
-            return self._split.pre_tokenize_str(part)
-        found = self._known.get(part)
-        if found is None:
-            if len(self._known) >= CACHED_STRETCHES:
-                self._known.clear()
-            found = self._known[part] = self._split.pre_tokenize_str(part)
-        return found
+    def cut(self, part: str) -> Spans:
+        """The words of a stretch, and where each starts and ends in it."""
+        return self._split.pre_tokenize_str(part)
 
     def __call__(self, text: str) -> Spans:
         """The words of a whole text, and where each starts and ends in it."""
         out, at = [], 0
-        for part in self.lowered(text).split(" "):
-            out += [(word, (at + a, at + b)) for word, (a, b) in self.stretch(part)]
+        for part in self.stretches(text):
+            found = self._known.get(part)
+            if found is None:
+                found = kept(self._known, part, self.cut(part))
+            out += [(word, (at + a, at + b)) for word, (a, b) in found]
             at += len(part) + 1
         return out
 
 
+def kept[V](known: dict[str, V], part: str, value: V) -> V:
+    """Keeps what was found for a stretch, unless it is long; when too much is kept, it starts afresh."""
+    if len(part) <= LONGEST_CACHED:
+        if len(known) >= CACHED_STRETCHES:
+            known.clear()
+        known[part] = value
+    return value
+
+
 def windows(spans: Spans, n: int) -> Iterator[tuple[str, tuple[int, int]]]:
     """The runs of ``n`` consecutive words, joined by one blank, and where each starts and ends."""
     for at in range(len(spans) - n + 1):
@@ -80,22 +88,14 @@ class Buckets:
     def _of(self, feature: str) -> int:
         return zlib.crc32(feature.encode()) % self._buckets
 
-    def _single(self, part: str) -> tuple[int, ...]:
-        found = self._known.get(part)
-        if found is None:
-            found = tuple(self._of(word) for word, _ in self._words.stretch(part))
-            if len(part) <= LONGEST_CACHED:
-                if len(self._known) >= CACHED_STRETCHES:
-                    self._known.clear()
-                self._known[part] = found
-        return found
-
-    def __call__(self, text: str) -> tuple[int, Counter]:
+    def __call__(self, text: str) -> tuple[int, dict[int, int]]:
         """How many words there are, and how often each bucket is met."""
-        counts: Counter = Counter()
-        n_words = 0
-        for part, times in Counter(self._words.lowered(text).split(" ")).items():
-            single = self._single(part)
+        counts: defaultdict[int, int] = defaultdict(int)
+        n_words, known = 0, self._known
+        for part, times in Counter(self._words.stretches(text)).items():
+            single = known.get(part)
+            if single is None:
+                single = kept(known, part, tuple(self._of(word) for word, _ in self._words.cut(part)))
             n_words += times * len(single)
             if self._least == 1:
                 for bucket in single:
@@ -103,7 +103,8 @@ class Buckets:
         if self._most > 1:
             spans = self._words(text)
             for n in range(max(2, self._least), self._most + 1):
-                counts.update(self._of(feature) for feature, _ in windows(spans, n))
+                for feature, _ in windows(spans, n):
+                    counts[self._of(feature)] += 1
         return n_words, counts
 
 

@@ -65,7 +65,7 @@ def test_draw_matches_a_plain_one(spark, docs, least, most):
 def test_words_have_their_places():
     words = resampling.Words()
     for text in TEXTS:
-        lowered = words.lowered(text)
+        lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text)
         assert [(m[0], m.span()) for m in WORD.finditer(lowered)] == words(text)
         assert all(lowered[a:b].split() for _, (a, b) in resampling.windows(words(text), 2))
 
