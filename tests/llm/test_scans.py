@@ -155,8 +155,6 @@ def test_leaks_are_found_and_no_others(spark, docs):
     assert got == {(0, 0), (1, 1), (3, 2), (5, 4), (5, 5), (6, 6)}
     nodes = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in nodes and "Arrow" not in nodes
-    parts = decontamination.contaminated(docs(*texts), bench, indexed_at_once=1000)
-    assert {(r["doc_id"], r["item_id"]) for r in parts.collect()} == got
     clean = decontamination.clean(docs(*texts), bench)
     assert sorted(r["doc_id"] for r in clean.collect()) == [2, 4, 7, 8]
     copies = [(k, texts[0]) for k in (7, 3, None, 3, 5)]
@@ -219,7 +217,66 @@ def test_leaks_in_odd_rows(spark, odd):
     assert decontamination.clean(odd, bench.limit(0)).count() == odd.count()
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 64, 1001, 16_383])
+def test_items_of_any_length_are_judged_whole(spark, docs):
+    pick = random.Random(9)
+    long = [f"a{j}" for j in range(16_009)]
+    twice = [f"b{pick.randrange(9000)}" for _ in range(32_004)]
+    items = ["alpha beta gamma", "one two three four", " ".join(long), " ".join(twice), "lonely"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    filler = [f"f{j}" for j in range(200)]
+    texts = [
+        " ".join(filler[:12] + long[-5:]),  # the last five words only
+        " ".join(long[:8000]),  # half of it
+        " ".join(filler + long + filler),
+        " ".join(twice[:14_000] + filler + twice[14_000:]),
+        " ".join(twice[:16_002]),
+        " ".join(twice[3000:] + filler),
+        "x Alpha, beta GAMMA y alpha beta gamma",
+        "alpha beta delta gamma",
+        "one two three four",
+        "one two three",
+        "a lonely word",
+    ]
+    out = decontamination.contaminated(docs(*texts), bench)
+    want = [(2, 2, 200, 1.0), *((i, 3, *window(twice, texts[i].split())) for i in (3, 5))]
+    want += [(6, 0, 1, 1.0), (8, 1, 0, 1.0), (10, 4, 1, 1.0)]
+    want = [(*w[:3], pytest.approx(w[3])) for w in want]
+    assert rows(out, "doc_id", "item_id", "first_word", "similarity") == want
+    clean = decontamination.clean(docs(*texts[:2], *texts[6:]), bench.where("item_id IN (0, 2)"))
+    assert sorted(r["doc_id"] for r in clean.collect()) == [0, 1, 3, 4, 5, 6]
+
+
+def window(item, text):
+    """The best window, with what it shares with the item kept up to date from start to start."""
+    item, text = ([tuple(x[i : i + 5]) for i in range(len(x) - 4)] for x in (item, text))
+    own, here, both, best = Counter(item), Counter(), 0, (0, 0.0)
+    for h in text[: len(item)]:
+        here[h] += 1
+        both += here[h] <= own[h]
+    for start in range(len(text)):
+        size = min(len(item), len(text) - start)
+        best = max(best, (start, both / (len(item) + size - both)), key=lambda b: b[1])
+        both -= here[text[start]] <= own[text[start]]
+        here[text[start]] -= 1
+        if start + len(item) < len(text):
+            here[text[start + len(item)]] += 1
+            both += here[text[start + len(item)]] <= own[text[start + len(item)]]
+    return best
+
+
+def test_a_large_benchmark_takes_one_pass_over_the_documents(spark, docs, monkeypatch, tmp_path):
+    items = [" ".join(f"i{k}w{j}" for j in range(20)) for k in range(10_000)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    docs(*[f"x y z {items[k]} and on" for k in range(0, 10_000, 500)], "none of these").write.parquet(f"{tmp_path}/docs")
+    table = spark.read.parquet(f"{tmp_path}/docs")
+    met = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(decontamination, "shingles", lambda *a, f=decontamination.shingles: met.add(1) or f(*a))
+    found = decontamination.contaminated(table, bench)
+    assert rows(found, "doc_id", "item_id") == [(i, 500 * i) for i in range(20)]
+    assert met.value == 2  # of all documents, and of the few texts that hold enough
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 64, 1001, 16_383, 16_384, 40_000])
 def test_fingerprint_is_the_majority_of_each_bit(spark, n):
     import random
 
