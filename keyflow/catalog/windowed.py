@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 from keyflow.catalog import query
 from keyflow.catalog.sql import ARRIVALS, READINGS, bucket
 from keyflow.functions.accumulator import Mean
-from keyflow.operators import lateness, topn, transforms, windows
+from keyflow.operators import lateness, sliding, topn, transforms, windows
+from keyflow.plans import hotsplit
 from keyflow.schema import ARRIVAL_ORDER, readings, with_arrival
 
 KEY = ["id"]
@@ -48,7 +49,21 @@ SLIDING_SQL = f"""
 
 @query(f"WITH {READINGS}, {SLIDING_SQL} SELECT * FROM c")
 def sliding_event(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return windows.time_window(readings(spark, sf_dir), ["vc"], "ts", "1 hour", "30 minutes", cnt=F.count("*"))
+    return sliding.sliding_window(readings(spark, sf_dir), ["vc"], "ts", "1 hour", "30 minutes", cnt=hotsplit.count())
+
+
+@query(
+    f"""WITH {READINGS},
+    s AS (SELECT event_type, ts, vc, (epoch_us(ts) // 900000000 - unnest(range(96))) * 900000000 AS start FROM r)
+    SELECT event_type, make_timestamp(start) AS window_start, make_timestamp(start) + INTERVAL 1 DAY AS window_end,
+           {SUMS}, min(vc) AS least, max(vc) AS most, min(ts) AS first_ts
+    FROM s GROUP BY event_type, start"""
+)
+def sliding_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day's sums and extremes every quarter of an hour: each reading is in 96 windows."""
+    scans = {"least": hotsplit.lowest("vc"), "most": hotsplit.highest("vc"), "first_ts": hotsplit.lowest("ts")}
+    rows = readings(spark, sf_dir)
+    return sliding.sliding_window(rows, ["event_type"], "ts", "1 day", "15 minutes", **_running_counts(), **scans)
 
 
 @query(
@@ -86,8 +101,12 @@ def session_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.session_window(readings(spark, sf_dir), KEY, "ts", gap, ARRIVAL_ORDER, **_counts())
 
 
+def _running_counts() -> dict:
+    return {"cnt": hotsplit.count(), "sum_vc": hotsplit.total("vc")}
+
+
 def _counts_and_bounds() -> dict:
-    return {**_counts(), "first_ts": F.min("ts"), "last_ts": F.max("ts")}
+    return {**_running_counts(), "first_ts": hotsplit.lowest("ts"), "last_ts": hotsplit.highest("ts")}
 
 
 NUMBERED = "n AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ts, seq) AS k FROM r)"
@@ -120,6 +139,18 @@ def count_window_sliding_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.count_window(readings(spark, sf_dir), KEY, ARRIVAL_ORDER, 5, 2, **_counts_and_bounds())
 
 
+@query(
+    f"""WITH {READINGS}, n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, seq) AS firing FROM r)
+    SELECT event_type, firing, count(*) OVER w AS cnt, CAST(sum(vc) OVER w AS BIGINT) AS sum_vc,
+           min(ts) OVER w AS first_ts, max(ts) OVER w AS last_ts, min(vc) OVER w AS least, max(vc) OVER w AS most
+    FROM n WINDOW w AS (PARTITION BY event_type ORDER BY firing ROWS BETWEEN 999 PRECEDING AND CURRENT ROW)"""
+)
+def count_window_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After each reading, the last thousand of its type."""
+    scans = _counts_and_bounds() | {"least": hotsplit.lowest("vc"), "most": hotsplit.highest("vc")}
+    return windows.count_window(readings(spark, sf_dir), ["event_type"], ARRIVAL_ORDER, 1000, 1, **scans)
+
+
 @query(_hourly("min(ts) AS first_ts, CAST(sum(vc) AS BIGINT) AS sum_vc"))
 def window_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.window_reduce(readings(spark, sf_dir), KEY, "ts", "1 hour", ARRIVAL_ORDER, "vc")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.operators.windows import BOUNDS, time_window
+from keyflow.operators.sliding import BOUNDS, sliding_window
+from keyflow.plans import hotsplit
 
 
 def window_top_n(df: DataFrame, value: str, time: str, size: str, slide: str, n: int) -> DataFrame:
@@ -13,7 +14,7 @@ def window_top_n(df: DataFrame, value: str, time: str, size: str, slide: str, n:
 
     Each task keeps only its own best ``n`` per window before the ranking is shuffled.
     """
-    return rank_counts(time_window(df, [value], time, size, slide, cnt=F.count("*")), value, n)
+    return rank_counts(sliding_window(df, [value], time, size, slide, cnt=hotsplit.count()), value, n)
 
 
 def rank_counts(counts: DataFrame, value: str, n: int) -> DataFrame:

@@ -16,10 +16,9 @@ from pyspark.sql import types as T
 
 from keyflow.functions.accumulator import Accumulator
 from keyflow.operators import scan
+from keyflow.operators.sliding import BOUNDS, sliding_count_window
 from keyflow.plans import hotsplit
-from keyflow.plans.hotsplit import KeyedOrder
-
-BOUNDS = ["window_start", "window_end"]
+from keyflow.plans.hotsplit import KeyedOrder, Running
 
 
 def event_time(seconds: Column | str) -> Column:
@@ -35,7 +34,11 @@ def processing_time(df: DataFrame, name: str = "processed_at") -> DataFrame:
 def time_window(
     df: DataFrame, keys: Sequence[str], time: str, size: str, slide: str | None = None, **aggs: Column
 ) -> DataFrame:
-    """Aggregates per key and window. Without ``slide`` the windows tumble."""
+    """Aggregates per key and window. Without ``slide`` the windows tumble.
+
+    With it, each row is copied into the windows it falls into, as streams need it; over tables, and where
+    windows overlap much, ``sliding.sliding_window`` copies none.
+    """
     spans = F.window(time, size, slide) if slide else F.window(time, size)
     grouped = df.groupBy(*keys, spans.alias("_span")).agg(*_named(aggs))
     return _flatten(grouped, keys, aggs, "_span")
@@ -148,7 +151,7 @@ def session_window(
 
 
 def count_window(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, step: int | None = None, **aggs: Column
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, step: int | None = None, **scans: Running
 ) -> DataFrame:
     """Windows over the last ``size`` records of a key, one every ``step`` records.
 
@@ -156,12 +159,12 @@ def count_window(
     firings hold fewer records. ``firing`` is the number of the record that fired the window.
     """
     step = step or size
+    if step < size:
+        return sliding_count_window(df, keys, order, size, step, **scans)
     numbered = hotsplit.running(df, keys, order, _n=hotsplit.count())
-    earliest = F.ceil(F.col("_n") / step) * step
-    fires = F.when(
-        earliest <= F.col("_n") + size - 1,
-        F.sequence(earliest, F.col("_n") + size - 1, F.lit(step).cast("long")),
-    )
-    spread = numbered.withColumn("firing", F.explode(fires))
-    grouped = spread.groupBy(*keys, "firing").agg(F.max("_n").alias("_last"), *_named(aggs))
-    return grouped.filter(F.col("_last") == F.col("firing")).drop("_last")
+    # No record falls into two windows.
+    placed = numbered.withColumn("firing", (F.ceil(F.col("_n") / step) * step).cast("long"))
+    placed = placed.where(F.col("firing") < F.col("_n") + size)
+    grouped = placed.groupBy(*keys, "firing").agg(F.max("_n").alias("_last"), *[s.agg.alias(n) for n, s in scans.items()])
+    fired = grouped.where(F.col("_last") == F.col("firing"))
+    return fired.select(*keys, "firing", *[s.finish(F.col(n)).alias(n) for n, s in scans.items()])

@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from keyflow.operators import lateness, timers, topn, windows
+from keyflow.operators import lateness, sliding, timers, topn, windows
+from keyflow.plans import hotsplit
 from keyflow.schema import ARRIVAL_ORDER
 
 from conftest import seconds
@@ -82,11 +83,11 @@ def test_sessions_equal_those_of_streams(readings, spark, layout):
 
 def test_count_windows(readings, layout):
     table = readings(*[("a", second, 1) for second in range(7)])
-    tumbling = windows.count_window(table, KEY, ARRIVAL_ORDER, 3, n=F.count("*")).orderBy("firing").collect()
+    tumbling = windows.count_window(table, KEY, ARRIVAL_ORDER, 3, n=hotsplit.count()).orderBy("firing").collect()
     assert [(row.firing, row.n) for row in tumbling] == [(3, 3), (6, 3)]
-    sliding = windows.count_window(table, KEY, ARRIVAL_ORDER, 3, 1, n=F.count("*")).orderBy("firing").collect()
+    sliding = windows.count_window(table, KEY, ARRIVAL_ORDER, 3, 1, n=hotsplit.count()).orderBy("firing").collect()
     assert [row.n for row in sliding][:4] == [1, 2, 3, 3]
-    gaps = windows.count_window(table, KEY, ARRIVAL_ORDER, 1, 3, n=F.count("*"), t=F.min("seq")).orderBy("firing")
+    gaps = windows.count_window(table, KEY, ARRIVAL_ORDER, 1, 3, n=hotsplit.count(), t=hotsplit.lowest("seq")).orderBy("firing")
     assert [(row.firing, row.n, row.t) for row in gaps.collect()] == [(3, 1, 2), (6, 1, 5)]
 
 
@@ -118,6 +119,46 @@ def test_panes(readings, layout):
     assert [(row.pane, row.cnt, row.sum_vc) for row in first] == [(1, 2, 3), (2, 3, 10), (3, 4, 110)]
 
 
+def test_sliding_windows_without_copies(readings):
+    """Any pair of lengths, times before the epoch and without a window start, null keys, against plain sums."""
+    pick = random.Random(6)
+    made = [(pick.choice(["a", "b", None]), pick.randrange(-500, 500) * pick.choice([1, 7]), pick.randrange(-9, 9)) for _ in range(300)]
+    table = readings(*made)
+    for size, slide in ((60, 7), (10, 10), (12, 8), (1000, 10), (5, 60)):
+        got = sliding.sliding_window(
+            table, KEY, "ts", f"{size} seconds", f"{slide} seconds", n=hotsplit.count(), s=hotsplit.total("vc"),
+            least=hotsplit.lowest("vc"), last=hotsplit.latest("vc", ["ts", "seq"]),
+        )
+        want = {}
+        for seq, (key, at, vc) in sorted(enumerate(made), key=lambda e: (e[1][1], e[0])):
+            for start in range(at - size + 1 + (-(at - size + 1)) % slide, at + 1, slide):
+                want.setdefault((key, start), []).append(vc)
+        rows = {(r.id, seconds(r.window_start)): (r.n, r.s, r.least, r.last) for r in got.collect()}
+        assert rows == {k: (len(v), sum(v), min(v), v[-1]) for k, v in want.items()}
+    zoned = table.withColumn("ts", F.col("ts").cast("timestamp"))
+    same = sliding.sliding_window(zoned, KEY, "ts", "12 seconds", "8 seconds", n=hotsplit.count())
+    plain = windows.time_window(zoned, KEY, "ts", "12 seconds", "8 seconds", n=F.count("*"))
+    assert same.exceptAll(plain).isEmpty() and plain.exceptAll(same).isEmpty()
+
+
+def test_windows_share_slices(readings):
+    """Nothing is copied size / slide times: the plan has no expansion, and generates one row a window."""
+    day = sliding.sliding_window(readings(("a", 0, 1)), KEY, "ts", "1 day", "15 minutes", n=hotsplit.count())
+    assert "Expand" not in day._jdf.queryExecution().optimizedPlan().toString() and day.count() == 96
+
+
+def test_long_count_windows_read_each_row_twice(readings, layout):
+    pick = random.Random(3)
+    made = [(pick.choice("aab"), i, pick.randrange(100)) for i in range(700)]
+    for size, step in ((100, 1), (64, 7), (3, 2)):
+        out = windows.count_window(readings(*made), KEY, ARRIVAL_ORDER, size, step, s=hotsplit.total("vc"), m=hotsplit.highest("vc"))
+        want = {}
+        for key in "ab":
+            values = [vc for k, _, vc in made if k == key]
+            want |= {(key, n): values[max(0, n - size) : n] for n in range(step, len(values) + 1, step)}
+        assert {(r.id, r.firing): (r.s, r.m) for r in out.collect()} == {k: (sum(v), max(v)) for k, v in want.items()}
+
+
 def test_top_n_breaks_ties_by_value(readings):
     table = readings(("a", 0, 3), ("b", 1, 3), ("a", 2, 2), ("a", 3, 1), ("a", 4, 1))
     rows = topn.window_top_n(table, "vc", "ts", "10 seconds", "10 seconds", 2).orderBy("rank").collect()
