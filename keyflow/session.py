@@ -66,3 +66,9 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(base)
     return f"{base}/keyflow-{label}-{uuid.uuid4().hex}"
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Removes a scratch folder that nothing can need any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -21,18 +21,13 @@ from keyflow.operators.joins import broadcast_threshold
 from keyflow.operators.windows import BOUNDS
 from keyflow.plans import hotsplit
 from keyflow.plans.hotsplit import KeyedOrder, Running, as_right, match
+from keyflow.session import drop
 from keyflow.sinks.writers import BatchWriter, batch_folders
 
 # Stored rows per key are those of changed keys; this often they are all written together.
 COMPACT_EVERY = 10
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    """Removes a folder that no repeated batch can need any more."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _written(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
     batch_folders(f"{folder}/input")(batch, batch_id)
     return batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/input/batch={batch_id}")
@@ -40,7 +35,7 @@ def _written(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
 
 def _finish(spark: SparkSession, folder: str, batch_id: int) -> None:
     if batch_id > 0:
-        _drop(spark, f"{folder}/input/batch={batch_id - 1}")
+        drop(spark, f"{folder}/input/batch={batch_id - 1}")
 
 
 def carried(
@@ -164,7 +159,7 @@ def keyed(
         _finish(spark, folder, batch_id)
         if batch_id == _base(batch_id) + 1 and batch_id > COMPACT_EVERY:
             for old in range(_base(batch_id) - COMPACT_EVERY, _base(batch_id)):
-                _drop(spark, f"{folder}/state/batch={old}")
+                drop(spark, f"{folder}/state/batch={old}")
 
     return write
 
@@ -239,7 +234,7 @@ def _split(rows: DataFrame, fires: Column, folder: str, batch_id: int) -> DataFr
     """Stores what does not fire yet below ``pending``, and returns the rest."""
     batch_folders(f"{folder}/pending")(rows.filter(~fires), batch_id)
     if batch_id > 1:
-        _drop(rows.sparkSession, f"{folder}/pending/batch={batch_id - 2}")
+        drop(rows.sparkSession, f"{folder}/pending/batch={batch_id - 2}")
     return rows.filter(fires)
 
 
@@ -348,9 +343,9 @@ def late_panes(
         later = _joined_windows(later.unionByName(grouped(extra, "late"), allowMissingColumns=True), window)
         may_change = F.coalesce(F.col("window_end") + F.expr(f"INTERVAL {allowed}") > watermark, F.lit(True))
         batch_folders(f"{folder}/open")(later.filter(may_change), batch_id)
-        _drop(spark, f"{folder}/classified/batch={batch_id}")
+        drop(spark, f"{folder}/classified/batch={batch_id}")
         if batch_id > 1:
-            _drop(spark, f"{folder}/open/batch={batch_id - 2}")
+            drop(spark, f"{folder}/open/batch={batch_id - 2}")
         _finish(spark, folder, batch_id)
 
     return write

@@ -49,6 +49,23 @@ def test_slices_come_in_order_and_whole(spark):
     assert all(max(a) < min(b) for a, b in zip(bounds, bounds[1:]))
 
 
+@pytest.mark.parametrize("slices", [2, 12])
+def test_the_table_is_read_as_often_for_any_number_of_slices(spark, slices):
+    met = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            met.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(600).repartition(3).mapInArrow(counting, "id long")
+    folder, seen = scratch_dir(spark, "slices"), []
+    run = lambda stream: run_query(stream, lambda b, i: seen.append(b.count()), f"{folder}/checkpoint")
+    run_in_slices(rows, ["id"], folder, run, slices=slices)
+    assert sum(seen) == 600 and len(seen) == slices
+    assert met.value <= 4 * 600  # quantiles, the ranges' bounds, and the rows themselves
+
+
 def test_stored_rows_are_compacted_and_dropped(spark, monkeypatch):
     """Only changed keys are stored; every few batches all are, and older folders go."""
     import os
