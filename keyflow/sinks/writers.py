@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from keyflow.session import drop, scratch_dir
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -66,15 +68,21 @@ def batch_folders(path: str) -> BatchWriter:
 
 
 def fan_out(outputs: Mapping[str, Callable[[DataFrame], DataFrame]]) -> BatchWriter:
-    """Several outputs of one stream: ``{folder: part of the batch}``. The batch is computed once."""
+    """Several outputs of one stream: ``{folder: part of the batch}``.
+
+    The batch is written once and read back for each of them, so that none of it need be held in memory.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        spark = batch.sparkSession
+        once = scratch_dir(spark, "batch")
         try:
+            batch.write.parquet(once)
+            kept = spark.read.schema(batch.schema).parquet(once)
             for path, part in outputs.items():
-                batch_folders(path)(part(batch), batch_id)
+                batch_folders(path)(part(kept), batch_id)
         finally:
-            batch.unpersist()
+            drop(spark, once)
 
     return write
 
