@@ -204,6 +204,28 @@ def idle_parity_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ARRIVED = ["arrival", "seq"]
 
+# Odd levels arrive in the first half of each day only.
+IDLE_SQL = f"""{ARRIVALS},
+    i AS (SELECT *, vc % 2 AS parity FROM a WHERE vc % 2 = 0 OR hour(ts) < 12),
+    b AS (SELECT *, max(CASE WHEN parity = 0 THEN ts END) OVER w AS t0, max(CASE WHEN parity = 1 THEN ts END) OVER w AS t1,
+                 arrival - coalesce(max(CASE WHEN parity = 0 THEN arrival END) OVER w, min(arrival) OVER w) <= INTERVAL 3 HOUR AS a0,
+                 arrival - coalesce(max(CASE WHEN parity = 1 THEN arrival END) OVER w, min(arrival) OVER w) <= INTERVAL 3 HOUR AS a1
+          FROM i WINDOW w AS (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    n AS (SELECT *, CASE WHEN a0 AND a1 THEN CASE WHEN t0 IS NOT NULL AND t1 IS NOT NULL THEN least(t0, t1) END
+                         WHEN a0 THEN t0 WHEN a1 THEN t1 END - INTERVAL 30 MINUTE AS now FROM b)"""
+
+
+@query(
+    f"""WITH {IDLE_SQL},
+    k AS (SELECT *, max(now) OVER (ORDER BY arrival, seq) AS watermark FROM n)
+    SELECT seq, CAST(parity AS INTEGER) AS parity, watermark, coalesce(ts < watermark, false) AS is_late FROM k"""
+)
+def idle_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even and odd levels as two inputs, one of which stops for half a day and must not hold the other back."""
+    rows = _arrivals(spark, sf_dir).withColumn("parity", F.col("vc") % 2).where((F.col("parity") == 0) | (F.hour("ts") < 12))
+    marked = lateness.with_watermark_of_inputs(rows, "parity", [0, 1], "ts", "arrival", ARRIVED, "30 minutes", "3 hours")
+    return marked.select("seq", "parity", "watermark", F.coalesce(F.col("ts") < F.col("watermark"), F.lit(False)).alias("is_late"))
+
 CLASSIFIED = f"""{ARRIVALS},
     m AS (SELECT *, {bucket("ts")} + INTERVAL 1 HOUR AS window_end,
                  max(ts) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)

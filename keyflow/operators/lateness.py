@@ -125,6 +125,34 @@ def classify_sides(
     return seen.select(*merged.columns, late.alias("is_late"))
 
 
+def with_watermark_of_inputs(
+    df: DataFrame, which: str, inputs: Sequence, time: str, arrival: str, order: Sequence[str], delay: str, silence: str
+) -> DataFrame:
+    """Adds ``watermark``, as the records that arrived before a row make it, where an input may fall silent.
+
+    The column ``which`` names a row's input, one of the few in ``inputs``. The watermark is the newest time, less ``delay``, of the
+    input that is furthest behind. An input from which nothing has arrived for longer than ``silence``
+    (at the start: since the first record of any) is left out until it speaks again; one without a record holds the watermark
+    back until then. The watermark never falls, and stays where it is while all inputs are silent.
+    """
+    limit = F.expr(f"INTERVAL {silence}")
+    mine = {}
+    for i, name in enumerate(inputs):
+        own = F.col(which) == F.lit(name)
+        mine |= {f"_time{i}": F.when(own, F.col(time)), f"_heard{i}": F.when(own, F.col(arrival))}
+    scans = {f"{n}_": hotsplit.highest(n).before() for n in mine}
+    seen = hotsplit.running(df.withColumns(mine), [], order, _first=hotsplit.lowest(arrival).before(), **scans)
+    held, times = F.lit(False), []
+    for i in range(len(inputs)):
+        alive = F.col(arrival) <= F.coalesce(f"_heard{i}_", "_first") + limit
+        held = held | (alive & F.col(f"_time{i}_").isNull())
+        times.append(F.when(alive, F.col(f"_time{i}_")))
+    behind = F.array_min(F.array(*times))  # of those that are not silent
+    now = seen.withColumn("_now", F.when(~held, behind - F.expr(f"INTERVAL {delay}")))
+    risen = hotsplit.running(now, [], order, measured=df, watermark=hotsplit.highest("_now"))
+    return risen.select(*df.columns, "watermark")
+
+
 def final_watermark(df: DataFrame, time: str, delay: str) -> Column:
     """The watermark after the last row, as a scalar subquery."""
     return df.agg((F.max(time) - F.expr(f"INTERVAL {delay}")).alias("w")).scalar()
