@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,8 +25,20 @@ MEASURED = "_id long, _chars long, _lines long, _upper long, _letters long, _end
 )
 
 
-# A word with a letter; all characters beyond ASCII count as letters here.
-_lettered = re.compile(rb"[^\x20\x09-\x0D]*[A-Za-z\x80-\xff][^\x20\x09-\x0D]*")
+_lettered = re.compile(rb"[^\x20\x09-\x0D]*[A-Za-z][^\x20\x09-\x0D]*")
+
+
+def letters(text: str, raw: bytes, words: list[bytes]) -> tuple[int, int, int]:
+    """Capitals, letters, and words with a letter, as Unicode has them, in a text of any length and script."""
+    if text.isascii():  # the same, by bytes
+        points = np.frombuffer(raw, np.uint8)
+        upper = int(((points >= 65) & (points <= 90)).sum())
+        return upper, upper + int(((points >= 97) & (points <= 122)).sum()), len(_lettered.findall(raw))
+    characters = Counter(text)
+    upper = sum(n for c, n in characters.items() if c.isupper())
+    alpha = {c for c in characters if c.isalpha()}
+    lettered = sum(n for w, n in Counter(words).items() if not alpha.isdisjoint(w.decode()))
+    return upper, sum(characters[c] for c in alpha), lettered
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -54,22 +67,16 @@ def measure(text: str | None) -> tuple[int, ...]:
             duplicates += line in seen
             seen.add(line)
     spaces = sum(text.count(c) for c in SPACE)
-    upper = sum(map(str.isupper, text)) if len(text) < 200 else None
-    if upper is None:
-        points = np.frombuffer(raw, np.uint8)
-        upper = int(((points >= 65) & (points <= 90)).sum())
-        letters = upper + int(((points >= 97) & (points <= 122)).sum()) + int((points >= 0xC0).sum())
-    else:
-        letters = sum(map(str.isalpha, text))
+    upper, alpha, lettered = letters(text, raw, words)
     ends = sum(text.count(c) for c in ".!?")
     return (
         len(text),
         lines,
         upper,
-        letters,
+        alpha,
         ends,
         len(set(words)),
-        len(_lettered.findall(raw)),
+        lettered,
         len(words),
         len(text) - spaces,
         sum(text.count(c) for c in SYMBOLS),
