@@ -17,8 +17,8 @@ UNDETERMINED = "und"
 
 # Stands before each word, as in the vocabulary.
 START = "▁"
-# Longer runs of letters are scored in parts of this length, so that products stay within range.
-LONGEST = 32
+# Probabilities of words up to this length are multiplied as they are, those of longer ones as logarithms, to stay in range.
+PLAIN = 32
 # Probability of a letter that is not in the vocabulary, whatever the language.
 UNSEEN = 1e-7
 # Words whose scores a task keeps; beyond that it starts afresh.
@@ -29,11 +29,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: str) -> list[str]:
-    """Lower-cased runs of letters, in parts of at most ``LONGEST``."""
-    found = _letters.findall(text.lower())
-    if any(len(w) > LONGEST for w in found):
-        found = [w[i : i + LONGEST] for w in found for i in range(0, len(w), LONGEST)]
-    return found
+    """Lower-cased runs of letters, however long."""
+    return _letters.findall(text.lower())
 
 
 def vocabulary(path: str) -> list[str]:
@@ -65,12 +62,12 @@ class Lattice:
         return h
 
     def arcs(self, found: list[str]) -> Iterator[tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]]:
-        """For words of one length each: which words, and (start, end, piece of each word) for every stretch.
+        """For words of one length each, up to ``PLAIN``: which words, and (start, end, piece of each) for every stretch.
 
         The piece is ``n`` for a single unknown character and ``n + 1`` where a stretch is no piece.
         """
-        lengths = np.array([len(w) for w in found])
-        for length in np.unique(lengths):
+        lengths = np.array([len(w) for w in found], np.int64)
+        for length in np.unique(lengths[lengths <= PLAIN]):
             which = np.flatnonzero(lengths == length)
             for at in range(0, len(which), 20_000):
                 part = which[at : at + 20_000]
@@ -90,6 +87,33 @@ class Lattice:
                             out.append((start, end, piece))
                 yield part, out
 
+    def _arcs_of(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and piece of every stretch of one long word that is a piece or a single character, by end."""
+        codes = np.frombuffer((START + word).encode("utf-32-le"), "<u4").astype(np.uint64)
+        h, out = np.zeros(len(codes), np.uint64), []
+        for size in range(1, min(self.longest, len(codes)) + 1):
+            n = len(codes) - size + 1
+            with np.errstate(over="ignore"):
+                h = h[:n] * _BASE + codes[size - 1 :] + np.uint64(1)
+            place = np.minimum(np.searchsorted(self.hashes, h), max(self.n - 1, 0))
+            known = self.hashes[place] == h if self.n else np.zeros(n, bool)
+            at = np.arange(n) if size == 1 else np.flatnonzero(known)
+            piece = np.where(known, self.order[place] if self.n else self.n, self.n)
+            out.append((at, at + size, piece[at]))
+        start, end, piece = (np.concatenate(x) for x in zip(*out))
+        order = np.argsort(end, kind="stable")
+        return start[order], end[order], piece[order]
+
+    def _forward(self, start: np.ndarray, end: np.ndarray, piece: np.ndarray, logs: np.ndarray) -> np.ndarray:
+        """Logarithms of what the segmentations up to each place of a long word add up to."""
+        out = np.full((end[-1] + 1, logs.shape[1]), -np.inf)
+        out[0] = 0
+        first = np.searchsorted(end, np.arange(1, end[-1] + 2))
+        for at in range(1, len(out)):
+            here = slice(first[at - 1], first[at])
+            out[at] = _log_sum(out[start[here]] + logs[piece[here]])
+        return out
+
     def table(self, probabilities: np.ndarray) -> np.ndarray:
         """Probabilities with a row for unknown characters and one for stretches that are no piece."""
         columns = probabilities.shape[1]
@@ -99,6 +123,11 @@ class Lattice:
         """Of each word (rows) under each language (columns), by the forward algorithm."""
         table = self.table(probabilities)
         out = np.zeros((len(found), probabilities.shape[1]))
+        with np.errstate(divide="ignore"):
+            logs = np.log(table)
+        for i, word in enumerate(found):
+            if len(word) > PLAIN:
+                out[i] = self._forward(*self._arcs_of(word), logs)[-1]
         for part, arcs in self.arcs(found):
             forward = np.zeros((max(e for _, e, _ in arcs) + 1, len(part), table.shape[1]))
             forward[0] = 1
@@ -111,6 +140,17 @@ class Lattice:
         """How often each piece is used in all segmentations of weighted words, each by its probability."""
         table = self.table(probabilities[:, None])[:, 0]
         counts = np.zeros(self.n + 2)
+        with np.errstate(divide="ignore"):
+            logs = np.log(table)[:, None]
+        for i, word in enumerate(found):
+            if len(word) > PLAIN:
+                start, end, piece = self._arcs_of(word)
+                forward = self._forward(start, end, piece, logs)[:, 0]
+                last = len(word) + 1
+                turned = np.argsort(last - start, kind="stable")  # the same word read from its end
+                backward = self._forward((last - end)[turned], (last - start)[turned], piece[turned], logs)[::-1, 0]
+                share = weights[i] * np.exp(forward[start] + logs[piece, 0] + backward[end] - forward[-1])
+                counts += np.bincount(piece, share, self.n + 2)
         for part, arcs in self.arcs(found):
             size = max(e for _, e, _ in arcs) + 1
             forward, backward = np.zeros((size, len(part))), np.zeros((size, len(part)))
@@ -125,6 +165,13 @@ class Lattice:
         return counts[: self.n]
 
 
+def _log_sum(logs: np.ndarray) -> np.ndarray:
+    top = logs.max(axis=0)
+    safe = np.where(np.isfinite(top), top, 0)
+    with np.errstate(divide="ignore"):
+        return safe + np.log(np.exp(logs - safe).sum(axis=0))
+
+
 @dataclass(frozen=True)
 class Model:
     pieces: tuple[str, ...]
@@ -151,7 +198,8 @@ def train(
 ) -> Model:
     """Learns the piece probabilities of each language from documents that are not held out.
 
-    The fit is bounded: the ``most_languages`` most frequent values of ``lang``, of each about
+    The fit is bounded: the ``most_languages`` most frequent values of ``lang`` (a value beyond these is never
+    predicted; the table of probabilities that every task holds grows with their number), of each about
     ``docs_per_language`` documents chosen by a hash of the key, and of those the ``words_per_language``
     most frequent words. Expectation-maximisation runs in one task per language. Rows without text or
     language are passed over. Without any row there are no languages. What reaches the driver is the

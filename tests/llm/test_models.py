@@ -182,5 +182,48 @@ def test_languages_of_odd_rows(spark, odd, docs):
 
 
 @pytest.mark.parametrize("word", ["x" * 500, "日本語" * 50])
-def test_very_long_words_are_scored_whole(word):
-    assert "".join(language.words(word)) == word and max(map(len, language.words(word))) <= language.LONGEST
+def test_very_long_words_are_whole(word):
+    assert language.words(f"1 {word} 2") == [word]
+
+
+def exact_total(text, table_, column):
+    """All segmentations summed from the left with fractions, which neither round nor run out of range."""
+    from fractions import Fraction
+
+    longest = max(map(len, table_))
+    sums = [Fraction(1)]
+    for end in range(1, len(text) + 1):
+        total = Fraction(0)
+        for start in range(max(0, end - longest), end):
+            p = table_.get(text[start:end])
+            total += sums[start] * (Fraction(p[column]) if p is not None else Fraction(language.UNSEEN) if end == start + 1 else 0)
+        sums.append(total)
+    return sums[-1]
+
+
+def test_segmentations_of_long_words_are_all_summed():
+    vocabulary = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "aba", "bb"]
+    lattice = language.Lattice(vocabulary)
+    p = np.random.default_rng(2).random((len(vocabulary), 3)) / 50
+    table_ = dict(zip(vocabulary, p))
+    pick = np.random.default_rng(3)
+    found = ["".join(pick.choice(list("abx"), n)) for n in (32, 33, 200, 900)]
+    scores = lattice.log_likelihood(found, p)
+    for word, got in zip(found, scores):
+        for column in range(3):
+            total = exact_total("▁" + word, table_, column)
+            log = math.log(total.numerator) - math.log(total.denominator)
+            assert math.isclose(got[column], log, rel_tol=1e-9)
+    one = p[:, 0] / p[:, 0].sum()
+    uses = lattice.expected(["ab" * 40, "ba" * 3], np.array([2.0, 1.0]), one)
+    assert math.isclose(sum(u * len(v) for u, v in zip(uses, vocabulary)), 2 * 81 + 7, rel_tol=1e-6)
+
+
+@pytest.mark.parametrize("part", ["ПРИВЕТ мир. ", "Καλή ΜΕΡΑ ", "😀 — – 。 ", "日本語 です。 ", "Plain TEXT 12. ", "É à — x "])
+def test_letters_are_counted_alike_at_every_length(part):
+    names = [c.split()[0] for c in quality.MEASURED.split(", ")][1:]
+    one, many = (dict(zip(names, quality.measure(part * n))) for n in (1, 40))
+    for name in ("_upper", "_letters", "_lettered", "n_words", "_chars"):
+        assert many[name] == 40 * one[name]
+    assert one["_upper"] == sum(map(str.isupper, part)) and one["_letters"] == sum(map(str.isalpha, part))
+    assert one["_lettered"] == sum(any(map(str.isalpha, w)) for w in part.split())
