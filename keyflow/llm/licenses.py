@@ -64,15 +64,16 @@ TEMPLATES = {
     ),
 }
 
-SHORTEST = 6  # letters of a template word that is indexed; words of phrases are indexed whatever their length
+# A template word takes part if it is in at most this share of the documents, or among the rarest of its template.
+MOST_DOCUMENTS = 0.1
 
 Templates = Mapping[str, tuple[str, Sequence[str]]]
 
 
 def vocabulary(templates: Templates = TEMPLATES, phrases: Mapping[str, str] = PHRASES) -> list[str]:
-    """The indexed words: those of all phrases, and the longer ones of the templates."""
+    """The indexed words: those of all phrases and templates."""
     needed = {w for p in [*phrases, *(p for _, keys in templates.values() for p in keys)] for w in p.split()}
-    return sorted(needed | {w for text, _ in templates.values() for w in text.split() if len(w) >= SHORTEST})
+    return sorted(needed | {w for text, _ in templates.values() for w in text.split()})
 
 
 def index(df: DataFrame, indexed: Sequence[str], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,6 +121,8 @@ def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int,
     weights = F.create_map(*[F.lit(x) for pair in sorted(idf.items()) for x in pair])
     own = {label: {word for other, _, word in known if other == label} for label in templates}
     rarest = {label: sorted(words, key=lambda w: (-idf[w], w))[:rare] for label, words in own.items()}
+    telling = {w for w in idf if idf[w] >= -math.log(MOST_DOCUMENTS)}.union(*rarest.values())
+    known = [(label, at, word) for label, at, word in known if word in telling]
     postings = F.array(
         *[
             F.struct(
@@ -128,10 +131,11 @@ def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int,
             for label, at, word in known
         ]
     )
+    told = found.withColumn("hits", F.filter("hits", lambda h: h["word"].isin(sorted({word for _, _, word in known}))))
     distinct = F.array_distinct(F.transform("hits", lambda h: h["word"]))
     ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.element_at(weights, w)).alias("idf"), w.alias("word"))))
     best = F.transform(F.slice(ranked, 1, rare), lambda x: x["word"])
-    rows = found.where(F.size("hits") > 0).select(ROW, "hits", best.alias("_best"))
+    rows = told.where(F.size("hits") > 0).select(ROW, "hits", best.alias("_best"))
 
     def implied(hit: Column) -> Column:
         same = F.filter(postings, lambda p: (p["word"] == hit["word"]) & (p["rare"] | F.array_contains("_best", hit["word"])))

@@ -125,6 +125,15 @@ def test_notices_do_not_hide_each_other(spark, docs):
     assert all(found[i]["labels"] == "" for i in range(len(texts), len(texts) + 20))
 
 
+def test_short_words_tell_a_template_too(spark, docs):
+    """Their rarity counts, not their letters: here all words of the notice are short."""
+    templates = {"tiny": ("you may use it or sell it if you cite me and my kin", ("cite me",))}
+    other = ["the long documents elsewhere mention nothing of that"] * 30
+    texts = ["x y you may use it or sell it if you cite me and my kin z", "we cite me", "use it or sell it"]
+    found = {r["doc_id"]: r["labels"] for r in licenses.scan(docs(*texts, *other), templates=templates).collect()}
+    assert [found[i] for i in range(4)] == ["tiny", "", "", ""]
+
+
 def test_licences_in_odd_rows(spark, odd):
     got = rows(licenses.scan(odd), "doc_id", "n_words", "labels")
     assert len(got) == odd.count() and (5, 30_000, "") in got
