@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import ROW, ascii_lower, numbered, written
+from keyflow.llm.common import ROW, ascii_lower, numbered, sent, written
 
 # A word of lower-cased text: letters, digits and everything outside ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -123,14 +123,11 @@ def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int,
     rarest = {label: sorted(words, key=lambda w: (-idf[w], w))[:rare] for label, words in own.items()}
     telling = {w for w in idf if idf[w] >= -math.log(MOST_DOCUMENTS)}.union(*rarest.values())
     known = [(label, at, word) for label, at, word in known if word in telling]
-    postings = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("label"), F.lit(at).alias("at"), F.lit(word).alias("word"), F.lit(word in rarest[label]).alias("rare")
-            )
-            for label, at, word in known
-        ]
-    )
+    by_word: dict[str, list[Column]] = {}
+    for label, at, word in known:
+        entry = F.struct(F.lit(label).alias("label"), F.lit(at).alias("at"), F.lit(word in rarest[label]).alias("rare"))
+        by_word.setdefault(word, []).append(entry)
+    postings = F.create_map(*[x for word, entries in sorted(by_word.items()) for x in (F.lit(word), F.array(*entries))])
     told = found.withColumn("hits", F.filter("hits", lambda h: h["word"].isin(sorted({word for _, _, word in known}))))
     distinct = F.array_distinct(F.transform("hits", lambda h: h["word"]))
     ranked = F.array_sort(F.transform(distinct, lambda w: F.struct((-F.element_at(weights, w)).alias("idf"), w.alias("word"))))
@@ -138,13 +135,22 @@ def aligned(found: DataFrame, templates: Templates, n_documents: int, rare: int,
     rows = told.where(F.size("hits") > 0).select(ROW, "hits", best.alias("_best"))
 
     def implied(hit: Column) -> Column:
-        same = F.filter(postings, lambda p: (p["word"] == hit["word"]) & (p["rare"] | F.array_contains("_best", hit["word"])))
+        same = F.filter(F.element_at(postings, hit["word"]), lambda p: p["rare"] | F.array_contains("_best", hit["word"]))
         return F.transform(same, lambda p: F.struct(p["label"].alias("label"), (hit["at"] - p["at"]).alias("start"), p["at"]))
 
-    starts = rows.select(ROW, F.explode(F.flatten(F.transform("hits", implied))).alias("v"))
+    # Sorted, those that imply one start stand together; the last of them, less than ``least``, are left out.
+    def supported(s: Column) -> Column:
+        def further(v: Column, i: Column) -> Column:
+            other = F.get(s, i + (least - 1))
+            return F.coalesce((other["label"] == v["label"]) & (other["start"] == v["start"]), F.lit(False))
+
+        return F.filter(s, further)
+
+    implications = F.array(F.array_sort(F.flatten(F.transform("hits", implied))))  # so that they are worked out once
+    starts = rows.select(ROW, F.explode(F.transform(implications, supported)[0]).alias("v"))
     sizes = {label: len({at for other, at, _ in known if other == label}) for label in templates}
     lengths = F.create_map(*[x for label, n in sizes.items() for x in (F.lit(label), F.lit(min(max(n, 1), rare)))])
-    support = starts.groupBy(ROW, "v.label", "v.start").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    support = starts.groupBy(ROW, "v.label", "v.start").agg((F.count("*") + (least - 1)).alias("n"))
     share = F.least(F.col("n") / F.element_at(lengths, F.col("label")), F.lit(1.0))
     return support.groupBy(ROW, "label").agg(F.max(share).alias("share"))
 
@@ -172,7 +178,7 @@ def scan(
         if not re.fullmatch(r"[a-z0-9]+( [a-z0-9]+)*", phrase):
             raise ValueError(f"not lower-case words with single blanks: {phrase!r}")
     found = written(index(df, vocabulary(templates, phrases), key, text), "licenses")
-    support = aligned(found, templates, found.count(), rare, least)
+    support = sent(aligned(found, templates, found.count(), rare, least), "support")
     present = {p: F.size(places(p)) > 0 for _, keys in templates.values() for p in keys}
     must = F.lit(False)
     for label, (_, keys) in templates.items():
@@ -181,11 +187,13 @@ def scan(
             verified = verified & present[phrase]
         must = F.when(F.col("label") == label, verified).otherwise(must)
     added = (
-        support.join(found.select(ROW, "hits"), ROW)
+        found.select(ROW, "hits")
+        .join(support, ROW)
         .where(must)
         .groupBy(ROW)
         .agg(F.collect_set("label").alias("_added"), F.max("share").alias("_share"))
     )
+    added = sent(added, "notices")
     starts = {phrase: places(phrase) for phrase in phrases}
     every = F.concat(*starts.values())
     base = F.array_compact(F.array(*[F.when(F.size(at) > 0, F.lit(phrases[p])) for p, at in starts.items()]))
