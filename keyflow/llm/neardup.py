@@ -12,11 +12,15 @@ from keyflow.llm.common import ROW, numbered, sent, written
 from keyflow.llm.graph import components
 from keyflow.llm.shingles import distinct_shingles, mix
 
-FRAGMENT_BITS = 2  # the order of the n-grams is cut into 4 fragments
+FRAGMENTS = 4  # into which the order of the n-grams is cut
 SETS_PER_BLOCK = 1000
+HASH_BITS = 56  # of an n-gram's place in the order; the bits above are the level of its count
+MOST_LEVEL = 127
+PLACE_BITS = 48  # left out when n-grams are counted for the cuts, which leaves 32,768 places
+PARITIES = [f"p{i}" for i in range(4)]  # a set's n-grams by parity, 64 places each
 
 SIGNED = "uid long, id long, n long, k1 long, k2 long, grams binary"
-ORDERED = "rep long, n long, shared long, grams array<long>"
+ORDERED = "rep long, n long, shared long, grams array<long>, " + ", ".join(f"{p} long" for p in PARITIES)
 
 
 def _sets(rows: Blocks, width: int, percent: int) -> DataFrame:
@@ -51,6 +55,8 @@ def _sets(rows: Blocks, width: int, percent: int) -> DataFrame:
 def _ordered(sets: DataFrame, percent: int) -> DataFrame:
     """Sets with their n-grams in one order for all, rare ones first; n-grams of a single set are left out.
 
+    An n-gram is its place in the order: the level of its count, then its hash. The parities say for
+    each of 256 places whether an odd number of the set's n-grams falls there.
     Takes one set of each class of equal ones, so copies no longer count. Sets that have too few shared
     n-grams for any link are dropped.
     """
@@ -71,13 +77,16 @@ def _ordered(sets: DataFrame, percent: int) -> DataFrame:
         group = in_order(group)
         hashes, bounds = unpack(group)
         levels = understood(hashes, parts, answers)
-        sizes, lists, shared = group["n"].to_numpy(), [], []
+        sizes, lists, shared, parities = group["n"].to_numpy(), [], [], []
         for s, e, size in zip(bounds, bounds[1:], sizes):
             mine, rank = hashes[s:e], levels[s:e]
             mine, rank = mine[rank > 0], rank[rank > 0]
             shared.append(len(mine))
             enough = len(mine) and 100 * len(mine) >= percent * size
-            lists.append(mine[np.lexsort((mine, rank))].view(np.int64) if enough else None)
+            level = np.minimum(rank, MOST_LEVEL).astype(np.uint64) << np.uint64(HASH_BITS)
+            lists.append(np.sort(level | mine >> np.uint64(64 - HASH_BITS)).view(np.int64) if enough else None)
+            odd = np.bincount((mine & np.uint64(255)).astype(np.int64), minlength=256) & 1
+            parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
         kept = [i for i, x in enumerate(lists) if x is not None]
         out = {
             "rep": group["uid"].take(pa.array(kept, pa.int64())),
@@ -85,6 +94,7 @@ def _ordered(sets: DataFrame, percent: int) -> DataFrame:
             "shared": pa.array([shared[i] for i in kept], pa.int64()),
             "grams": pa.array([lists[i] for i in kept], pa.list_(pa.int64())),
         }
+        out |= {p: pa.array([parities[i][k] for i in kept], pa.int64()) for k, p in enumerate(PARITIES)}
         return pa.table(out)
 
     by_block = dealt.groupBy("block")
@@ -92,23 +102,50 @@ def _ordered(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(a: str, b: str, percent: int) -> Column:
-    """Whether a pair can still have the similarity, by sizes, n-grams shared with anything, and what follows a common one."""
+    """Whether a pair can still have the similarity, by sizes, n-grams shared with anything, what follows a common one,
+    and the parities.
+
+    An n-gram that one set alone holds changes one parity at most, so no fewer n-grams differ than parities do.
+    """
     col = lambda side, name: F.col(f"{side}.{name}")
     need = (100 + percent) * F.least(
         col(a, "shared"), col(b, "shared"), col(a, "n") - col(a, "at"), col(b, "n") - col(b, "at")
     ) >= percent * (col(a, "n") + col(b, "n"))
-    return need & (100 * F.least(col(a, "n"), col(b, "n")) >= percent * F.greatest(col(a, "n"), col(b, "n")))
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    different = col(a, "n") - col(a, "shared") + col(b, "n") - col(b, "shared")
+    for p in PARITIES:
+        different += F.bit_count(col(a, p).bitwiseXOR(col(b, p)))
+    near = (100 + percent) * different <= (100 - percent) * (col(a, "n") + col(b, "n"))
+    return need & near & (100 * F.least(col(a, "n"), col(b, "n")) >= percent * F.greatest(col(a, "n"), col(b, "n")))
+
+
+def _cuts(sets: DataFrame) -> list[int]:
+    """Places that cut the order of the n-grams into fragments with about equally many n-grams of sets."""
+    place = F.shiftright("gram", PLACE_BITS).alias("place")
+    found = sets.select(F.explode("grams").alias("gram")).groupBy(place).count()
+    found = sorted(found.collect())  # a bounded number of places, whatever the table
+    total, before, cuts = sum(n for _, n in found), 0, []
+    for place, n in found:
+        if before * FRAGMENTS >= (len(cuts) + 1) * total:
+            cuts.append(place << PLACE_BITS)
+        before += n
+    return cuts
+
+
+def _cut(sets: DataFrame, cuts: list[int]) -> DataFrame:
+    """The segments of the sets: for each fragment of the order the n-grams that fall into it, if any."""
+    ends = [None, *cuts, None]
+    inside = lambda low, high: lambda g: (F.lit(True) if low is None else g >= low) & (F.lit(True) if high is None else g < high)
+    segments = [
+        F.struct(F.lit(f).alias("f"), F.filter("grams", inside(low, high)).alias("g"))
+        for f, (low, high) in enumerate(zip(ends, ends[1:]))
+    ]
+    return written(sets.select("rep", "n", F.inline(F.array(*segments))).where(F.size("g") > 0), "segments")
+
+
+def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) with the similarity. Overlaps are counted per fragment and summed per pair."""
-    mine = lambda f: F.filter("grams", lambda g: F.shiftrightunsigned(g, 64 - FRAGMENT_BITS) == f)
-    fragments = F.transform(
-        F.sequence(F.lit(0), F.lit((1 << FRAGMENT_BITS) - 1)), lambda f: F.struct(f.alias("f"), mine(f).alias("g"))
-    )
-    cut = sets.select("rep", "n", F.inline(fragments))
-    left = cut.select(F.col("rep").alias("a"), "f", F.col("n").alias("na"), F.col("g").alias("ga"))
-    right = cut.select(F.col("rep").alias("b"), "f", F.col("n").alias("nb"), F.col("g").alias("gb"))
+    left = segments.select(F.col("rep").alias("a"), "f", F.col("n").alias("na"), F.col("g").alias("ga"))
+    right = segments.select(F.col("rep").alias("b"), "f", F.col("n").alias("nb"), F.col("g").alias("gb"))
     both = pairs.join(right, "b").join(left, ["a", "f"])
     counted = both.groupBy("a", "b", "na", "nb").agg(F.sum(F.size(F.array_intersect("ga", "gb"))).alias("common"))
     return counted.where((100 + percent) * F.col("common") >= percent * (F.col("na") + F.col("nb"))).select("a", "b")
@@ -124,16 +161,17 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     """
     first = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.col("shared"))
     exploded = sets.select(
-        "rep", "n", "shared", F.posexplode(F.slice("grams", 1, F.greatest(first.cast("int"), F.lit(1)))).alias("i", "gram")
+        "rep", "n", "shared", *PARITIES, F.posexplode(F.slice("grams", 1, F.greatest(first.cast("int"), F.lit(1)))).alias("i", "gram")
     )
     lists = written(exploded.withColumn("at", F.col("n") - F.col("shared") + F.col("i")).drop("i"), "lists")
-    member = F.struct("rep", "n", "shared", "at")
+    member = F.struct("rep", "n", "shared", "at", *PARITIES)
     best = F.struct(F.col("shared") / F.col("n"), "n", -F.col("rep"))
     hubs = lists.groupBy("gram").agg(F.max_by(member, best).alias("h"), F.count("*").alias("size"))
     hubs = hubs.where("size > 1").select("gram", "h.*")
     stars = hubs.alias("x").join(lists.alias("y"), "gram").where(F.col("x.rep") != F.col("y.rep"))
     pairs = stars.where(_possible("x", "y", percent)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    found = written(_linked(pairs, sets, percent), "links")
+    segments = _cut(sets, _cuts(sets))
+    found = written(_linked(pairs, segments, percent), "links")
 
     known = components(found)
     labelled = lists.join(known, lists["rep"] == known["node"], "left")
@@ -148,7 +186,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     rest = minor.alias("x").join(split.alias("y"), "gram").where(other & _possible("x", "y", percent))
     low, high = F.least("x.rep", "y.rep"), F.greatest("x.rep", "y.rep")
     more = rest.select(low.alias("a"), high.alias("b")).distinct()
-    return found.union(written(_linked(more, sets, percent), "links"))
+    return found.union(written(_linked(more, segments, percent), "links"))
 
 
 def join(
@@ -184,7 +222,11 @@ def join(
 
 
 def one_of_each(df: DataFrame, text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component as it is, and all rows that have no words. All columns are kept."""
+    """One row of each component as it is, and all rows that have no words. All columns are kept.
+
+    Which of a component's rows stays depends on how the table is read; of repeated rows one stays. Null keys
+    don't matter, as rows are numbered. An empty table gives no rows.
+    """
     plain = [f"_c{i}" for i in range(len(df.columns))]  # whatever the columns are called, nothing clashes
     rows = written(numbered(df.toDF(*plain)), "neardup")
     found = join(rows, ROW, plain[df.columns.index(text)], width, percent)

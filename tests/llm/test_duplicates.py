@@ -60,6 +60,40 @@ def test_components_match_all_pairs(spark, docs):
         assert got == sorted(classes(texts, width, percent))
 
 
+def boilerplate(n):
+    """Texts of 5 of 30 blocks of 40 words: each n-gram is in many of them, and hardly any two are similar."""
+    pick = random.Random(11)
+    blocks = [" ".join(f"b{k}w{i}" for i in range(40)) for k in range(30)]
+    return [" ".join(pick.sample(blocks, 5)) for _ in range(n)]
+
+
+def test_shared_blocks_make_few_candidates(spark, docs, monkeypatch):
+    counts = []
+
+    def counted(pairs, *rest, linked=neardup._linked):
+        counts.append(pairs.count())
+        return linked(pairs, *rest)
+
+    monkeypatch.setattr(neardup, "_linked", counted)
+    texts = boilerplate(600)
+    assert rows(neardup.join(docs(*texts))) == sorted(classes(texts, 4, 85))
+    assert sum(counts) < 600
+
+
+def test_fragments_cut_the_order_into_like_parts(spark):
+    grams = [[(level << neardup.HASH_BITS) + k * (1 << 50) for level in (4, 8, 9, 20) for k in range(n)] for n in (5, 9, 16)]
+    sets = spark.createDataFrame([(i, len(g), sorted(g)) for i, g in enumerate(grams)], "rep long, n long, grams array<long>")
+    cuts = neardup._cuts(sets)
+    assert len(cuts) == neardup.FRAGMENTS - 1
+    segments = neardup._cut(sets, cuts).collect()
+    assert sorted(g for r in segments for g in r["g"]) == sorted(sum(grams, []))
+    sizes = [sum(len(r["g"]) for r in segments if r["f"] == f) for f in range(neardup.FRAGMENTS)]
+    assert max(sizes) <= 2 * min(sizes)
+    highest = [max(g for r in segments if r["f"] == f for g in r["g"]) for f in range(neardup.FRAGMENTS)]
+    assert all(min(r["g"]) > highest[r["f"] - 1] for r in segments if r["f"])
+    assert neardup._cuts(sets.limit(0)) == [] and neardup._cut(sets.limit(0), []).count() == 0
+
+
 def test_one_document_of_each_group_stays(spark, docs):
     pick = random.Random(7)
     texts = [*family(pick, 30, 80, 3), "lone words that nobody else has at all", None, "", "twice twice", "twice twice"]
