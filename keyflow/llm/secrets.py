@@ -24,7 +24,8 @@ OPAQUE = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 LEAST_ASSIGNED = 6
 
 HIT = "struct<kind: int, start: int, stop: int, hash: string>"
-HITS, LIVE = "_hits", "_live"
+JUDGEMENT = "struct<start: int, kind: int, stop: int, owners: bigint, repositories: bigint, live: boolean>"
+HITS, JUDGED = "_hits", "_judged"
 
 _assign = re.compile(ASSIGN, re.ASCII | re.IGNORECASE)
 _access, _hex, _opaque = re.compile(ACCESS), re.compile(HEX), re.compile(OPAQUE)
@@ -103,28 +104,36 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("n").alias("repositories"))
 
 
-def classify(found: DataFrame, copied_owners: int = 3) -> DataFrame:
-    """Adds to each document the candidates whose values are owner-specific.
+def classify(found: DataFrame, copied_owners: int = 3, copied_repositories: int = 100) -> DataFrame:
+    """Adds to each document its candidates by start and kind, with their ownership and whether they look live.
 
-    A value with ``copied_owners`` owners or more is a widely copied example, any other looks live.
+    A value with ``copied_owners`` owners or more, or in ``copied_repositories`` repositories or more whoever
+    owns them, is a widely copied example; any other is owner-specific and looks live.
     Values are matched by an ordinary join, in which Spark can split a frequent value, and documents
     are put together again by their row number.
     """
     apart = found.select(ROW, F.explode(HITS).alias("hit")).withColumn("hash", F.col("hit.hash"))
-    joined = apart.join(ownership(found), "hash")
-    live = joined.where(F.col("owners") < copied_owners).select(ROW, "hit")
-    lists = live.groupBy(ROW).agg(F.collect_set("hit").alias(LIVE))
-    none = F.array().cast(f"array<{HIT}>")
-    return found.join(lists, ROW, "left").withColumn(LIVE, F.coalesce(LIVE, none))
+    live = (F.col("owners") < copied_owners) & (F.col("repositories") < copied_repositories)
+    judged = F.struct("hit.start", "hit.kind", "hit.stop", "owners", "repositories", live.alias("live"))
+    joined = apart.join(ownership(found), "hash").select(ROW, judged.alias("judged"))
+    lists = joined.groupBy(ROW).agg(F.array_sort(F.collect_list("judged")).alias(JUDGED))
+    none = F.array().cast(f"array<{JUDGEMENT}>")
+    return found.join(lists, ROW, "left").withColumn(JUDGED, F.coalesce(JUDGED, none))
 
 
 def digest(
-    df: DataFrame, key: str = "doc_id", text: str = "text", owner: str = "source", copied_owners: int = 3
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    owner: str = "source",
+    copied_owners: int = 3,
+    copied_repositories: int = 100,
 ) -> DataFrame:
-    """Per document: counts and digest of the base kinds, all spans, and how many of them look live.
+    """Per document: counts and digest of the base kinds, all spans, how many look live, and the widest ownership.
 
     Base spans stay whatever their ownership; opaque strings count only if their value is
-    owner-specific. A null text is an empty one. Repeated rows get a result each, and a null key its
+    owner-specific. ``most_owners`` and ``most_repositories`` are those of the document's widest copied value, 0
+    without candidates. A null text is an empty one. Repeated rows get a result each, and a null key its
     own row. An empty table gives no rows; other columns are not looked at.
     """
     rows = df.select(
@@ -133,22 +142,25 @@ def digest(
         F.col(owner).cast("string").alias("_owner"),
         F.col(text).alias("_text"),
     )
-    found = classify(written(candidates(rows, "_text"), "secrets"), copied_owners)
-    hits, live = F.col(HITS), F.col(LIVE)
+    found = classify(written(candidates(rows, "_text"), "secrets"), copied_owners, copied_repositories)
+    hits = F.col(JUDGED)
     base = F.filter(hits, lambda x: x["kind"] < 3)
     names = F.array(*[F.lit(k) for k in KINDS])
     span = lambda x: F.concat_ws(":", names[x["kind"]], x["start"].cast("string"), x["stop"].cast("string"))
-    count = lambda kind: F.size(F.filter(hits, lambda x: x["kind"] == kind)).cast("long")
-    kept = F.filter(hits, lambda x: (x["kind"] < 3) | F.array_contains(live, x))
+    count = lambda test: F.size(F.filter(hits, test)).cast("long")
+    most = lambda name: F.coalesce(F.array_max(hits[name]), F.lit(0)).cast("long")
+    kept = F.filter(hits, lambda x: (x["kind"] < 3) | x["live"])
     return found.select(
         F.col("_id").alias(key),
-        count(0).alias("n_assign"),
-        count(1).alias("n_access"),
-        count(2).alias("n_hex"),
+        count(lambda x: x["kind"] == 0).alias("n_assign"),
+        count(lambda x: x["kind"] == 1).alias("n_access"),
+        count(lambda x: x["kind"] == 2).alias("n_hex"),
         F.sha2(F.array_join(F.transform(base, span), ","), 256).alias("base_sha256"),
         F.array_join(F.transform(kept, span), ",").alias("spans"),
-        F.size(live).cast("long").alias("n_live"),
-        (F.size(hits) - F.size(live)).cast("long").alias("n_copied"),
+        count(lambda x: x["live"]).alias("n_live"),
+        count(lambda x: ~x["live"]).alias("n_copied"),
+        most("owners").alias("most_owners"),
+        most("repositories").alias("most_repositories"),
     )
 
 
@@ -159,12 +171,14 @@ def redact(
     owner: str = "source",
     size: str | None = None,
     copied_owners: int = 3,
+    copied_repositories: int = 100,
     mark: str = "[secret]",
 ) -> DataFrame:
     """The rows of ``df`` with each owner-specific value replaced by ``mark``; widely copied examples stay.
 
     Of an assignment the name stays and its value goes. ``size`` names a column that holds the number of
-    characters and is brought up to date. All columns and rows are kept, a null text stays null.
+    characters and is brought up to date. All columns and rows are kept, repeated rows too; a null text stays null, a
+    null owner or key counts as one. Overlapping values become one mark. An empty table gives no rows.
 
     The table is numbered and written once together with its candidates. Only rows that have any take
     part in the joins.
@@ -175,8 +189,10 @@ def redact(
     rows = written(candidates(numbered(df.toDF(*plain)), body, keep_text=True), "redact")
     suspect = rows.where(F.size(HITS) > 0)
     found = suspect.select(ROW, F.col(doc).alias("_id"), F.col(who).cast("string").alias("_owner"), HITS)
-    spans = F.array_sort(F.transform(LIVE, lambda x: F.struct(x["start"], x["stop"], x["kind"])))
-    marked = suspect.join(classify(found, copied_owners).select(ROW, spans.alias("_spans")), ROW).drop(ROW, HITS)
+    live = F.filter(JUDGED, lambda x: x["live"])
+    spans = F.transform(live, lambda x: F.struct(x["start"], x["stop"], x["kind"]))
+    judged = classify(found, copied_owners, copied_repositories).select(ROW, spans.alias("_spans"))
+    marked = suspect.join(judged, ROW).drop(ROW, HITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

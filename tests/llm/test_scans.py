@@ -54,6 +54,21 @@ def test_ownership_separates_examples(spark, docs):
     assert all(got[10 + i]["spans"] == "opaque:5:29" and got[10 + i]["n_live"] == 1 for i in range(5))
 
 
+def test_repositories_separate_examples_of_one_owner(spark, docs):
+    texts = [(i, "see Zm9vYmFyQmF6MTIzNDU2Nzg5MA== ok", "one") for i in range(6)] + [(9, "Q1W2e3R4t5Y6u7I8o9P0aSdF", "one")]
+    texts += [(5, "see Zm9vYmFyQmF6MTIzNDU2Nzg5MA== ok", "one")]  # the same repository once more
+
+    def spans(most):
+        return [r["spans"] for r in secrets.digest(docs(*texts), copied_repositories=most).orderBy("doc_id").collect()]
+
+    assert spans(6) == [""] * 7 + ["opaque:0:24"]
+    assert spans(7) == ["opaque:4:32"] * 7 + ["opaque:0:24"]
+    got = {(r["most_owners"], r["most_repositories"], r["n_copied"]) for r in secrets.digest(docs(*texts)).collect()}
+    assert got == {(1, 6, 0), (1, 1, 0)}
+    kept = secrets.redact(docs(*texts), copied_repositories=6).orderBy("doc_id").collect()
+    assert [r["text"] == "[secret]" for r in kept] == [False] * 7 + [True]
+
+
 def test_redaction_takes_live_values_only(spark, docs):
     live = 'x password="hunter2hunter2" y'
     example = [(i, "see token=example123456 ok", f"s{i}") for i in range(4)]
