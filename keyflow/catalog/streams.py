@@ -16,15 +16,15 @@ from keyflow.catalog.several import (
     interval_sql,
     side,
 )
-from keyflow.catalog.sql import READINGS, WORDS, bucket
+from keyflow.catalog.sql import ARRIVALS, READINGS, WORDS, bucket
 from keyflow.catalog.windowed import LATE_CLASSIFY_SQL, LATE_PANES_SQL, SLIDING_SQL, SUMS
-from keyflow.operators import joins, running, topn, transforms, windows
+from keyflow.operators import changelog, joins, running, topn, transforms, windows
 from keyflow.plans import hotsplit
 from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, as_readings, readings, table, text_lines, with_arrival
 from keyflow.session import scratch_dir
 from keyflow.sinks.writers import BatchWriter, bucketed_text_stream
 from keyflow.sources.lines import parquet_stream
-from keyflow.streaming import carry
+from keyflow.streaming import carry, revisions
 from keyflow.streaming.run import latest_update, read_batches, run_query, run_to_folder, start
 from keyflow.streaming.slices import run_in_slices
 
@@ -327,14 +327,75 @@ def stream_late_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     The stream ends here, so the windows still open fire at last.
     """
     folder, arrived = scratch_dir(spark, "panes"), ["arrival", "seq"]
-    rows = with_arrival(readings(spark, sf_dir).select("seq", "id", "ts", "vc"))
-    _in_order(rows, arrived, folder, carry.late_panes(folder, ["id"], "ts", "1 hour", "1 hour", "30 minutes", arrived, "vc"))
+    _in_order(_arrived(spark, sf_dir), arrived, folder, carry.late_panes(folder, ["id"], "ts", "1 hour", "1 hour", "30 minutes", arrived, "vc"))
     fired = spark.read.parquet(f"{folder}/panes")
     last = spark.read.parquet(f"{folder}/newest").agg(F.max("batch")).first()[0]
     ended = carry.unfired_panes(spark, folder, last, ["id"], "vc")
     return fired.drop("batch").unionByName(ended)
 
 
+def _arrived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_arrival(readings(spark, sf_dir).select("seq", "id", "ts", "vc"))
+
+
+def _revised_sessions(spark: SparkSession, sf_dir: str, allowed: str) -> DataFrame:
+    folder, order = scratch_dir(spark, "sessions"), ["arrival", "seq"]
+    gap = (1 + F.col("vc") % 12) * HOUR
+    sums = {"cnt": hotsplit.count(), "sum_vc": hotsplit.total("vc")}
+    write = revisions.session_changes(folder, ["id"], "ts", gap, "12 hours", "1 hour", allowed, order, **sums)
+    _in_order(_arrived(spark, sf_dir), order, folder, write)
+    fired = changelog.folded(spark.read.parquet(f"{folder}/changes").drop("batch"))
+    return fired.unionByName(revisions.unfired_sessions(spark, folder, ["id"], **sums))
+
+
+def _sessions_of(rows: str) -> str:
+    return f"""
+    f AS (SELECT *, coalesce(CAST(ts > max(until) OVER (PARTITION BY id ORDER BY ts, seq
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INTEGER), 1) AS opens FROM {rows}),
+    s AS (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY ts, seq) AS session FROM f)
+    SELECT id, min(ts) AS window_start, max(until) AS window_end, {SUMS} FROM s GROUP BY id, session"""
+
+
+@query(f"WITH {READINGS}, g AS (SELECT *, ts + to_hours(1 + vc % 12) AS until FROM r), {_sessions_of('g')}")
+def stream_session_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of readings that arrive in disorder, all within the time allowed: the same as those of the table."""
+    return _revised_sessions(spark, sf_dir, "5 hours")
+
+
+@query(
+    f"""WITH {ARRIVALS},
+    m AS (SELECT *, ts + to_hours(1 + vc % 12) AS until, max(ts) OVER (ORDER BY arrival, seq
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS watermark FROM a),
+    g AS (SELECT * FROM m WHERE (until + INTERVAL 30 MINUTE <= watermark) IS NOT TRUE), {_sessions_of("g")}"""
+)
+def stream_session_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that late readings still change for half an hour, and that miss those which come after that."""
+    return _revised_sessions(spark, sf_dir, "30 minutes")
+
+
+HALF_HOUR = "make_timestamp(epoch_us(ts) // 1800000000 * 1800000000)"
+
+
+@query(
+    f"""WITH {ARRIVALS},
+    m AS (SELECT *, max(ts) OVER (ORDER BY arrival, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+              - INTERVAL 1 HOUR AS watermark FROM a),
+    p AS (SELECT *, {HALF_HOUR} + to_minutes(unnest([30, 60])) AS window_end FROM m),
+    c AS (SELECT window_end, vc, count(*) AS cnt FROM p
+          WHERE (window_end + INTERVAL 2 HOUR <= watermark) IS NOT TRUE GROUP BY window_end, vc),
+    k AS (SELECT *, row_number() OVER (PARTITION BY window_end ORDER BY cnt DESC, vc) AS rank FROM c
+          WHERE window_end <= (SELECT max(ts) FROM a) - INTERVAL 1 HOUR)
+    SELECT window_end - INTERVAL 1 HOUR AS window_start, window_end, vc, cnt, CAST(rank AS INTEGER) AS rank
+    FROM k WHERE rank <= 2"""
+)
+def stream_top_n_revised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranks that late readings change for two hours: withdrawn, emitted anew, and folded here."""
+    folder, order = scratch_dir(spark, "ranks"), ["arrival", "seq"]
+    write = revisions.top_changes(folder, "vc", "ts", "1 hour", "30 minutes", 2, "1 hour", "2 hours", order)
+    _in_order(_arrived(spark, sf_dir), order, folder, write)
+    return changelog.folded(spark.read.parquet(f"{folder}/changes").drop("batch"))
+
+
 def _split_sides(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_dir(spark, "sides")
     write = carry.late_split_of_sides(folder, "ts", "1 hour", ["arrival", "seq"])

@@ -142,11 +142,21 @@ def session_window(
     if df.isStreaming:
         span = F.session_window(time, F.concat(gap.cast("string"), F.lit(" seconds")))
         return _flatten(df.groupBy(*keys, span.alias("_span")).agg(*_named(aggs)), keys, aggs, "_span")
-    ordered = KeyedOrder(df.withColumn("_until", F.col(time) + F.make_dt_interval(secs=gap)), keys, order)
-    rows = ordered.run(ordered.rows, _open_until=hotsplit.highest("_until").before())
-    opens = F.col("_open_until").isNull() | (F.col(time) > F.col("_open_until"))
-    rows = ordered.run(rows.withColumn("_opens", F.when(opens, F.col(time))), window_start=hotsplit.highest("_opens"))
-    grouped = rows.groupBy(*keys, "window_start").agg(F.max("_until").alias("window_end"), *_named(aggs))
+    return joined_spans(df.withColumn("_until", F.col(time) + F.make_dt_interval(secs=gap)), keys, time, "_until", order, **aggs)
+
+
+def joined_spans(
+    df: DataFrame, keys: Sequence[str], start: str, until: str, order: Sequence[str], **aggs: Column
+) -> DataFrame:
+    """Aggregates per key and union of the spans from ``start`` to ``until`` that touch one another.
+
+    ``order`` begins with ``start``.
+    """
+    ordered = KeyedOrder(df, keys, order)
+    rows = ordered.run(ordered.rows, _open_until=hotsplit.highest(until).before())
+    opens = F.col("_open_until").isNull() | (F.col(start) > F.col("_open_until"))
+    rows = ordered.run(rows.withColumn("_opens", F.when(opens, F.col(start))), window_start=hotsplit.highest("_opens"))
+    grouped = rows.groupBy(*keys, "window_start").agg(F.max(until).alias("window_end"), *_named(aggs))
     return grouped.select(*keys, *BOUNDS, *aggs)
 
 

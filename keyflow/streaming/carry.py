@@ -28,12 +28,12 @@ from keyflow.sinks.writers import BatchWriter, batch_folders
 COMPACT_EVERY = 10
 
 
-def _written(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
+def written_batch(batch: DataFrame, folder: str, batch_id: int) -> DataFrame:
     batch_folders(f"{folder}/input")(batch, batch_id)
     return batch.sparkSession.read.schema(batch.schema).parquet(f"{folder}/input/batch={batch_id}")
 
 
-def _finish(spark: SparkSession, folder: str, batch_id: int) -> None:
+def finish_batch(spark: SparkSession, folder: str, batch_id: int) -> None:
     if batch_id > 0:
         drop(spark, f"{folder}/input/batch={batch_id - 1}")
 
@@ -54,12 +54,12 @@ def carried(
         before = None
         if batch_id > 0:
             before = spark.read.parquet(f"{folder}/carry/batch={batch_id - 1}").select("carry").scalar()
-        batch = _written(batch, folder, batch_id)
+        batch = written_batch(batch, folder, batch_id)
         for name, part in parts(batch, before).items():
             batch_folders(f"{folder}/{name}")(part, batch_id)
         kept = batch.agg(value(batch, before).alias("carry"))
         batch_folders(f"{folder}/carry")(kept.coalesce(1), batch_id)
-        _finish(spark, folder, batch_id)
+        finish_batch(spark, folder, batch_id)
 
     return write
 
@@ -149,14 +149,14 @@ def keyed(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = _written(batch, folder, batch_id)
+        batch = written_batch(batch, folder, batch_id)
         start = stored(spark, folder, keys, batch_id - 1)
         batch_folders(f"{folder}/rows")(rows(batch, start), batch_id)
         later = state(batch)
         if start is not None:
             later = _merged(start, later, keys, merge, every=batch_id == _base(batch_id))
         batch_folders(f"{folder}/state")(later, batch_id)
-        _finish(spark, folder, batch_id)
+        finish_batch(spark, folder, batch_id)
         if batch_id == _base(batch_id) + 1 and batch_id > COMPACT_EVERY:
             for old in range(_base(batch_id) - COMPACT_EVERY, _base(batch_id)):
                 drop(spark, f"{folder}/state/batch={old}")
@@ -218,13 +218,16 @@ def top_by_key(folder: str, keys: Sequence[str], order: Sequence[str], value: st
     return keyed(folder, keys, rows, state, merge)
 
 
-def _watermark(batch: DataFrame, folder: str, time: str, delay: str, batch_id: int) -> Column:
+def newest_before(spark: SparkSession, folder: str, batch_id: int) -> Column | None:
+    """The newest time of the batches before this one, as ``watermark_after`` has stored it."""
+    return spark.read.parquet(f"{folder}/newest/batch={batch_id - 1}").select("newest").scalar() if batch_id > 0 else None
+
+
+def watermark_after(batch: DataFrame, folder: str, time: str, delay: str, batch_id: int) -> Column:
     """The watermark after a batch, which is stored with it."""
     spark = batch.sparkSession
-    newest = F.max(time)
-    if batch_id > 0:
-        before = spark.read.parquet(f"{folder}/newest/batch={batch_id - 1}").select("newest").scalar()
-        newest = F.greatest(newest, before)
+    newest, before = F.max(time), newest_before(spark, folder, batch_id)
+    newest = newest if before is None else F.greatest(newest, before)
     batch_folders(f"{folder}/newest")(batch.agg(newest.alias("newest")).coalesce(1), batch_id)
     stored = spark.read.parquet(f"{folder}/newest/batch={batch_id}")
     return stored.select(F.col("newest") - F.expr(f"INTERVAL {delay}")).scalar()
@@ -247,14 +250,14 @@ def event_timers(folder: str, keys: Sequence[str], time: str, after: str, delay:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = _written(batch, folder, batch_id)
-        watermark = _watermark(batch, folder, time, delay, batch_id)
+        batch = written_batch(batch, folder, batch_id)
+        watermark = watermark_after(batch, folder, time, delay, batch_id)
         due = batch.select(*keys, (F.col(time) + F.expr(f"INTERVAL {after}")).alias("fires_at"))
         if batch_id > 0:
             due = due.unionByName(spark.read.schema(due.schema).parquet(f"{folder}/pending/batch={batch_id - 1}"))
         fired = _split(due.distinct(), F.col("fires_at") <= watermark, folder, batch_id)
         batch_folders(f"{folder}/fired")(fired, batch_id)
-        _finish(spark, folder, batch_id)
+        finish_batch(spark, folder, batch_id)
 
     return write
 
@@ -269,8 +272,8 @@ def silence_alarms(folder: str, keys: Sequence[str], time: str, order: Sequence[
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch = _written(batch, folder, batch_id)
-        watermark = _watermark(batch, folder, time, delay, batch_id)
+        batch = written_batch(batch, folder, batch_id)
+        watermark = watermark_after(batch, folder, time, delay, batch_id)
         last = batch.groupBy(*keys).agg(F.max(time).alias("last_ts"))
         waiting = None
         if batch_id > 0:
@@ -281,7 +284,7 @@ def silence_alarms(folder: str, keys: Sequence[str], time: str, order: Sequence[
         broken = seen.filter(F.col(time) > F.col("last_ts") + limit).select(*keys, "last_ts")
         ended = _split(last, F.col("last_ts") + limit <= watermark, folder, batch_id)
         batch_folders(f"{folder}/fired")(broken.unionByName(ended).withColumn("fires_at", F.col("last_ts") + limit), batch_id)
-        _finish(spark, folder, batch_id)
+        finish_batch(spark, folder, batch_id)
 
     return write
 
@@ -312,11 +315,9 @@ def late_panes(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = None
-        if batch_id > 0:
-            before = spark.read.parquet(f"{folder}/newest/batch={batch_id - 1}").select("newest").scalar()
-        batch = _written(batch, folder, batch_id)
-        watermark = _watermark(batch, folder, time, delay, batch_id)
+        before = newest_before(spark, folder, batch_id)
+        batch = written_batch(batch, folder, batch_id)
+        watermark = watermark_after(batch, folder, time, delay, batch_id)
         classified = lateness.classify(batch, time, size, delay, allowed, order, before)
         batch_folders(f"{folder}/classified")(classified, batch_id)
         rows = spark.read.schema(classified.schema).parquet(f"{folder}/classified/batch={batch_id}")
@@ -346,7 +347,7 @@ def late_panes(
         drop(spark, f"{folder}/classified/batch={batch_id}")
         if batch_id > 1:
             drop(spark, f"{folder}/open/batch={batch_id - 2}")
-        _finish(spark, folder, batch_id)
+        finish_batch(spark, folder, batch_id)
 
     return write
 
