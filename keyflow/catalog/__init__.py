@@ -34,6 +34,6 @@ def query(sql: str | None = None):
 
 
 def load() -> dict[str, Query]:
-    from keyflow.catalog import keyed, processed, rowlevel, several, streams, windowed  # noqa: F401
+    from keyflow.catalog import files, keyed, processed, rowlevel, several, streams, windowed  # noqa: F401
 
     return REGISTRY

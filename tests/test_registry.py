@@ -19,7 +19,7 @@ SIZED = {
         "running_sum running_max running_min running_max_by running_min_by custom_reduce jump_alarm top3_running "
         "level_counts_running level_map_running running_avg bucket_counter inactivity_alarm keyed_connect_join "
         "window_join interval_join interval_join_bucketed interval_join_on_time session_fixed session_dynamic "
-        "count_window_tumbling count_window_sliding count_window_sliding_step count_window_long stream_running_sum"
+        "count_window_tumbling count_window_sliding count_window_sliding_step count_window_long stream_running_sum file_sink_rolls"
     ).split()
 } | {"window_process": 1, "late_panes": 1, "word_count_running": 500}
 
