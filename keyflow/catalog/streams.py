@@ -24,7 +24,7 @@ from keyflow.schema import ARRIVAL_ORDER, DOCUMENT, EVENT, as_readings, readings
 from keyflow.session import scratch_dir
 from keyflow.sinks.writers import BatchWriter, bucketed_text_stream
 from keyflow.sources.lines import parquet_stream
-from keyflow.streaming import carry, revisions
+from keyflow.streaming import carry, heavy, revisions
 from keyflow.streaming.run import latest_update, read_batches, run_query, run_to_folder, start
 from keyflow.streaming.slices import run_in_slices
 
@@ -277,20 +277,35 @@ def stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE l.event_type = 'click' AND p.event_type = 'purchase'"""
 )
 def stream_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of the same window, found as they arrive."""
+    """Pairs of the same window, found as they arrive; keys that turn out to be heavy are spread over tasks."""
+    folder = scratch_dir(spark, "window-join")
+    kinds = {"left": "click", "right": "purchase"}
 
-    def pairs(stream: DataFrame) -> DataFrame:
+    def merged(stream: DataFrame) -> DataFrame:
+        named = F.when(F.col("event_type") == kinds["left"], "left").when(F.col("event_type") == kinds["right"], "right")
+        rows = as_readings(stream).select("id", "seq", F.col("ts").cast("timestamp").alias("ts"), named.alias("side"))
+        return rows.where("side IS NOT NULL")
+
+    def pairs(placed: DataFrame) -> DataFrame:
         sides = [
-            side(stream, kind, name)
-            .withColumn(f"{name}_ts", F.col(f"{name}_ts").cast("timestamp"))
+            placed.where(F.col("side") == name)
+            .select("id", *heavy.SLICES, *[F.col(column).alias(f"{name}_{column}") for column in ("seq", "ts")])
             .withWatermark(f"{name}_ts", "1 hour")
-            for kind, name in (("click", "left"), ("purchase", "right"))
+            for name in kinds
         ]
         ids = (["left_seq"], ["right_seq"])
-        joined = joins.window_join(*sides, ["id"], "left_ts", "right_ts", "5 hours", *ids, salts=4)
+        joined = joins.window_join(*heavy.on_grid(*sides, *ids), ["id", *heavy.GRID], "left_ts", "right_ts", "5 hours", *ids)
         return joined.select("id", "left_seq", "right_seq", *windows.BOUNDS)
 
-    return _local(_sliced(spark, sf_dir, "window-join", pairs).drop("batch"), *windows.BOUNDS)
+    place = heavy.place(folder, ["id"], F.window("ts", "5 hours").start)
+
+    def run(stream: DataFrame) -> None:
+        run_query(merged(stream), place, f"{folder}/placing")
+        run_to_folder(pairs(heavy.placed_stream(spark, folder)), folder)
+
+    run_in_slices(table(spark, sf_dir, "events").select(*EVENT.names), ["ts"], folder, run)
+    schema = pairs(heavy.placed_stream(spark, folder)).schema
+    return _local(read_batches(spark, f"{folder}/out", schema).drop("batch"), *windows.BOUNDS)
 
 
 @query(
