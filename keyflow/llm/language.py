@@ -307,7 +307,11 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
 
 
 def recognised(df: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows whose language is determined with a posterior of ``least`` or more, as they are."""
+    """The rows whose language is determined with a posterior of ``least`` or more, as they are.
+
+    Texts that are null, empty or without letters go. Repeated rows and null keys are judged each by its text, and all
+    columns are kept. Equal posteriors go to the language that comes first. An empty table gives no rows.
+    """
     plain = [f"_c{i}" for i in range(len(df.columns))]  # whatever the columns are called, nothing clashes
     body = plain[df.columns.index(text)]
     said = with_language(df.toDF(*plain), model, body, ("_lang", "_score"))

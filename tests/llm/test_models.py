@@ -134,6 +134,24 @@ def test_url_model_learns_hosts_and_paths(spark):
     assert len(said) == 24 and all((r["verdict"] == "block") == (r["blocked"] == 1) for r in said)
 
 
+def test_urls_of_odd_rows(spark):
+    """Null keys and URLs, repeated rows, and columns that are called like those of the result."""
+    given = [(1, None), (1, None), (None, "http://a.net/x"), (None, None), (2, "http://a.net/x"), (2, "http://a.net/x"), (3, ""), (4, "x" * 50_000)]
+    pages = spark.createDataFrame(given, "page_id bigint, url string")
+    for name in ("host", "path", "rule", "verdict", "score", "_k", "_rule"):
+        pages = pages.withColumn(name, F.lit("clash"))
+    out = urls.judge(pages, urls.train(spark.createDataFrame([("http://b.org/", 1), ("http://c.org/", 0)], "url string, blocked int")))
+    assert out.columns == ["page_id", "host", "path", "rule", "verdict", "score"]
+    got = [tuple(row) for row in out.collect()]
+    assert sorted(map(str, (row[0] for row in got))) == sorted(map(str, (key for key, _ in given)))
+    for row in got:
+        if row[1] == "a.net":
+            assert row[2:5] == ("/x", "net/", "block")
+        else:
+            assert row[1:4] == ("", "", None) and row[4] in ("allow", "block")
+    assert sum(row[1] == "a.net" for row in got) == 3
+
+
 def test_segmentations_are_all_summed():
     vocabulary = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "aba"]
     lattice = language.Lattice(vocabulary)

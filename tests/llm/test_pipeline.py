@@ -26,6 +26,32 @@ def test_stages_one_after_the_other(spark, tmp_path):
     assert corpus_pipeline.run(spark, SF_DIR).count() == docs.count()
 
 
+# How many of the odd rows each stage keeps. Language: those with letters. Near duplicates: all but a repeated row.
+KEPT = {"language": 5, "near_duplicates": 8, "decontamination": 9, "secrets": 9}
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows_and_on_none(spark, odd, name, stage):
+    """Null and empty texts, null keys, repeated rows, a very long text, clashing columns; then no rows at all."""
+    out = stage(spark, odd, SF_DIR)
+    if name == "packing":
+        pieces = out.select("doc_id", "piece").collect()
+        assert sum(row.piece == 0 for row in pieces) == odd.count()  # each row of the table has its first piece
+        assert sum(row.doc_id is None for row in pieces) == 2
+    else:
+        assert out.columns == odd.columns
+        got, given = [tuple(row) for row in out.collect()], [tuple(row) for row in odd.collect()]
+        assert len(got) == KEPT[name]
+        assert set(got) <= set(given)  # as they were
+        texts = odd.columns.index("text")
+        if name == "language":
+            assert all(row[texts] and row[texts].strip() for row in got)
+        else:
+            assert set(got) == set(given)
+    none = stage(spark, odd.limit(0), SF_DIR)
+    assert none.columns == out.columns and none.count() == 0
+
+
 def test_every_query_is_registered():
     names = set(entry.queries())
     assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names}
