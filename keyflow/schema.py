@@ -81,4 +81,4 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def text_lines(documents: DataFrame) -> DataFrame:
     """Documents as one line of text each."""
-    return documents.select("doc_id", F.translate("text", "\n", " ").alias("value"))
+    return documents.select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))

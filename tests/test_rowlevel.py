@@ -2,10 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from keyflow.session import scratch_dir
-from keyflow.functions.text import format_millis, message
+from keyflow.functions.text import format_millis, message, split_words
 from keyflow.operators import distribute, joins, split, transforms
 from keyflow.operators.running import word_count, word_count_running
-from keyflow.schema import READING
+from keyflow.schema import READING, text_lines
 from keyflow.sources import lines
 
 
@@ -182,3 +182,21 @@ def test_scratch_folder_must_be_shared():
     Context.master = "local-cluster[2,1,1024]"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session(), "x")
+
+
+@pytest.mark.parametrize("separator", list(" ,|.$^*+?()[]{}\\-&#\tx9é"))
+def test_separators_stand_for_themselves(spark, separator):
+    texts = ["", separator, separator * 3, f"{separator}a{separator}{separator}b{separator}", "no", f"q{separator}", "\\E|.y "]
+    line = spark.createDataFrame([(n, text) for n, text in enumerate(texts)], "n int, value string")
+    got = {row.n: row.words for row in line.select("n", split_words("value", separator).alias("words")).collect()}
+    want = {n: [] if text and not text.strip(separator) else text.rstrip(separator).split(separator) for n, text in enumerate(texts)}
+    assert got == want
+    # No quoting, which would have each text split by a pattern compiled for it.
+    assert r"\Q" not in str(split_words("value", separator))
+
+
+def test_lines_of_texts(spark):
+    table = spark.createDataFrame([(1, "a\n\nb\\n\n"), (2, None), (3, "")], "doc_id bigint, text string")
+    lines = text_lines(table)
+    assert [tuple(row) for row in lines.orderBy("doc_id").collect()] == [(1, "a  b\\n "), (2, None), (3, "")]
+    assert "translate" not in lines._jdf.queryExecution().optimizedPlan().toString()
