@@ -51,6 +51,21 @@ def configured(spark: SparkSession) -> Iterator[SparkSession]:
             spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
 
 
+# How many tasks list folders. Unless told, Spark takes one for each folder.
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """While tables of very many folders are opened: these are listed by a few tasks for each core."""
+    before = spark.conf.get(LISTING, None)
+    spark.conf.set(LISTING, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, before) if before is not None else spark.conf.unset(LISTING)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder, ``spark.checkpoint.dir``.
 

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.plans import hotsplit
+from keyflow.session import listing
 from keyflow.sinks.writers import BatchWriter
 
 MANIFEST = "batch bigint, bucket string, span bigint, part bigint, path string, bytes bigint"
@@ -70,13 +71,18 @@ def rolled_text(
         names = [f"_o{at}" for at in range(len(order))]
         placed = with_parts(rows, names, most_bytes, "_time", most_seconds)
         file = ["bucket", "span", "part"]
-        lined = placed.repartition(*file).sortWithinPartitions(*file, *names)
+        # As many tasks as there may be: what a file costs doesn't follow from its bytes, so few bytes don't mean few tasks.
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        lined = placed.repartition(tasks, *file).sortWithinPartitions(*file, *names)
         folder = f"{path}/files/batch={batch_id}"
-        lined.select(*file, F.coalesce("value", F.lit("")).alias("value")).write.partitionBy(*file).mode("overwrite").text(folder)
+        lines = lined.select(*file, F.coalesce("value", F.lit("")).alias("value")).write.partitionBy(*file).mode("overwrite")
+        # Each task moves its own files into place, not the driver those of all; none counts before the manifest lists it.
+        lines.option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(folder)
         # A row for each file: sizes and names come from a listing, contents are not read.
-        listed = spark.read.schema(LISTED).format("binaryFile").load(folder)
+        with listing(spark):
+            listed = spark.read.schema(LISTED).format("binaryFile").load(folder)
         entry = listed.select(F.lit(batch_id).cast("bigint").alias("batch"), *file, "path", F.col("length").alias("bytes"))
-        entry.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+        entry.repartition(1).write.mode("append").parquet(f"{path}/manifest")
 
     return write
 
@@ -102,4 +108,5 @@ def read_rolled(spark: SparkSession, path: str) -> DataFrame:
     newest = last_batch(spark, path)
     if newest < 0:
         return spark.createDataFrame([], LINES)
-    return spark.read.schema(LINES).text(f"{path}/files").where(F.col("batch") <= newest)
+    with listing(spark):
+        return spark.read.schema(LINES).text(f"{path}/files").where(F.col("batch") <= newest)

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from keyflow.session import scratch_dir
+from keyflow.session import LISTING, listing, scratch_dir
 from keyflow.sinks.rolling import last_batch, manifest, read_rolled, rolled_text
 
 DDL = "seq bigint, bucket string, value string, s bigint"
@@ -92,3 +92,19 @@ def test_nothing_written(spark):
     assert last_batch(spark, path) == -1
     writer(path)(table(spark, [(1, "a", "b", 0)]), 1)
     assert read(spark, path, 1) == {("a", 0, 0): ["b"]}
+
+
+def test_few_bytes_in_many_files_are_many_tasks_with_few_listing_them(spark, monkeypatch):
+    rows = table(spark, [(i, f"b{i}", "line", 0) for i in range(60)])
+    path = scratch_dir(spark, "rolls")
+    listed = spark.conf.get(LISTING, None)
+    seen = []
+    monkeypatch.setattr("keyflow.sinks.rolling.listing", lambda session: seen.append(session) or listing(session), raising=False)
+    writer(path)(rows, 0)
+    # The name of a file begins with the number of its task.
+    tasks = {row.path.rsplit("/", 1)[1][:10] for row in manifest(spark, path).collect()}
+    assert len(tasks) > 4
+    assert read_rolled(spark, path).count() == 60
+    assert len(seen) == 2 and spark.conf.get(LISTING, None) == listed
+    with listing(spark):
+        assert spark.conf.get(LISTING) == "32"
