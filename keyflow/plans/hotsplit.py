@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 
 ROWS_PER_TASK = 4_000_000
 MIN_ROWS_PER_TASK = 1_000
+# Chunks of one order over all rows are small, since several of them can meet in a task.
+ROWS_PER_CHUNK = 250_000
 LEAST_MAX_CHUNKS = 20_000
 CHUNKS_PER_CORE = 20
 SAMPLES_PER_CHUNK = 64
@@ -166,7 +168,7 @@ class KeyedOrder:
         if not self.keys:
             size = int(measured.count() / self.share)
             spread = max(MIN_ROWS_PER_TASK, -(-size // spark.sparkContext.defaultParallelism))
-            limit = max(min(base, spread), -(-size // max_chunks(spark)))
+            limit = max(min(base, spread, ROWS_PER_CHUNK), -(-size // max_chunks(spark)))
             if size <= limit:
                 return df
             self.cut = True

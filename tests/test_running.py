@@ -234,3 +234,13 @@ def test_sizes_from_a_sample_change_nothing(crowded, spark):
         assert [row.n for row in by_seq(got)] == brute(rows, sum)
     finally:
         spark.conf.unset("keyflow.rowsPerTask")
+
+
+def test_chunks_of_one_order_are_small(spark, monkeypatch):
+    from keyflow.plans import hotsplit
+
+    monkeypatch.setattr(hotsplit, "ROWS_PER_CHUNK", 50, raising=False)
+    ordered = hotsplit.KeyedOrder(spark.range(900), [], ["id"])
+    sizes = [row["count"] for row in ordered.rows.groupBy(*ordered.partition).count().collect()]
+    assert len(sizes) > 10 and max(sizes) <= 100 and sum(sizes) == 900
+    assert [row.n for row in hotsplit.running(spark.range(900), [], ["id"], n=hotsplit.count()).orderBy("id").collect()] == list(range(1, 901))
